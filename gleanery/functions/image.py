@@ -9,78 +9,118 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery.functions.text import let
 
-def _piece(data: Column, offset: int, length: int) -> Column:
-    return F.substring(data, offset + 1, length)
 
+# Bytes of header that hold the size, by kind of file.
+HEADER_BYTES = {
+    "PNG": 24,
+    "GIF": 10,
+    "BMP core": 22,
+    "BMP": 26,
+    "WEBP lossy": 30,
+    "WEBP lossless": 25,
+    "WEBP extended": 30,
+}
 
-def _starts(data: Column, signature: bytes, offset: int = 0) -> Column:
-    return F.hex(_piece(data, offset, len(signature))) == signature.hex().upper()
 
+def _at(header: Column, signature: bytes, offset: int = 0) -> Column:
+    return F.substring(header, 2 * offset + 1, 2 * len(signature)) == signature.hex().upper()
 
-def _big_endian(data: Column, offset: int, length: int) -> Column:
-    digits = F.hex(_piece(data, offset, length))
-    return F.when(F.length(digits) == 2 * length, F.conv(digits, 16, 10).cast("bigint"))
 
+def _big_endian(header: Column, offset: int, length: int) -> Column:
+    return F.substring(header, 2 * offset + 1, 2 * length)
 
-def _little_endian(data: Column, offset: int, length: int) -> Column:
-    digits = F.concat(*[F.hex(_piece(data, offset + i, 1)) for i in reversed(range(length))])
-    return F.when(F.length(digits) == 2 * length, F.conv(digits, 16, 10).cast("bigint"))
 
+def _little_endian(header: Column, offset: int, length: int) -> Column:
+    return F.concat(*[F.substring(header, 2 * (offset + i) + 1, 2) for i in reversed(range(length))])
 
-def _size(width: Column, height: Column) -> Column:
-    return F.struct(width.cast("int").alias("width"), height.cast("int").alias("height"))
 
-
-def image_format(data: Column) -> Column:
-    """The format by signature; NULL where none fits."""
-    riff = _starts(data, b"RIFF") & _starts(data, b"WEBP", 8)
+def _kind(header: Column) -> Column:
+    """The kind of file by its signature; NULL where none fits."""
+    webp = _at(header, b"RIFF") & _at(header, b"WEBP", 8)
     return (
-        F.when(_starts(data, b"\x89PNG\r\n\x1a\n") & _starts(data, b"IHDR", 12), "PNG")
-        .when(_starts(data, b"\xff\xd8\xff"), "JPEG")
-        .when(_starts(data, b"GIF87a") | _starts(data, b"GIF89a"), "GIF")
-        .when(_starts(data, b"BM"), "BMP")
-        .when(riff, "WEBP")
+        F.when(_at(header, b"\x89PNG\r\n\x1a\n") & _at(header, b"IHDR", 12), "PNG")
+        .when(_at(header, b"\xff\xd8\xff"), "JPEG")
+        .when(_at(header, b"GIF87a") | _at(header, b"GIF89a"), "GIF")
+        .when(_at(header, b"BM") & _at(header, b"\x0c\0\0\0", 14), "BMP core")
+        .when(_at(header, b"BM"), "BMP")
+        .when(webp & _at(header, b"VP8 ", 12), "WEBP lossy")
+        .when(webp & _at(header, b"VP8L", 12), "WEBP lossless")
+        .when(webp & _at(header, b"VP8X", 12), "WEBP extended")
     )
 
 
-def _bmp_size(data: Column) -> Column:
-    height = _little_endian(data, 22, 4)
-    signed = F.when(height >= 2**31, 2**32 - height).otherwise(height)
-    return F.when(
-        _little_endian(data, 14, 4) == 12, _size(_little_endian(data, 18, 2), _little_endian(data, 20, 2))
-    ).otherwise(_size(_little_endian(data, 18, 4), signed))
+def _choose(kind: Column, by_kind: dict[str, Column], other: Column | None = None) -> Column:
+    chosen = F.when(F.lit(False), F.lit(None))
+    for name, value in by_kind.items():
+        chosen = chosen.when(kind == name, value)
+    return chosen if other is None else chosen.otherwise(other)
+
+
+def _numbers(header: Column, kind: Column) -> Column:
+    """Width and height fields as they stand in the header."""
+    packed = _little_endian(header, 21, 4)
+    width = {
+        "PNG": _big_endian(header, 16, 4),
+        "GIF": _little_endian(header, 6, 2),
+        "BMP core": _little_endian(header, 18, 2),
+        "BMP": _little_endian(header, 18, 4),
+        "WEBP lossy": _little_endian(header, 26, 2),
+        "WEBP lossless": packed,
+        "WEBP extended": _little_endian(header, 24, 3),
+    }
+    height = {
+        "PNG": _big_endian(header, 20, 4),
+        "GIF": _little_endian(header, 8, 2),
+        "BMP core": _little_endian(header, 20, 2),
+        "BMP": _little_endian(header, 22, 4),
+        "WEBP lossy": _little_endian(header, 28, 2),
+        "WEBP lossless": packed,
+        "WEBP extended": _little_endian(header, 27, 3),
+    }
+    complete = F.length(header) >= 2 * _choose(kind, {k: F.lit(n) for k, n in HEADER_BYTES.items()})
+    return F.struct(
+        *[
+            F.conv(F.when(complete, _choose(kind, digits)), 16, 10).cast("bigint").alias(name)
+            for name, digits in (("w", width), ("h", height))
+        ]
+    )
 
 
-def _webp_size(data: Column) -> Column:
-    bits = _little_endian(data, 21, 4)
+def _size(numbers: Column, kind: Column) -> Column:
+    """Width and height, after what some kinds pack into or add to the fields."""
+    w, h = numbers["w"], numbers["h"]
     low14 = F.lit(0x3FFF)
-    return (
-        F.when(
-            _starts(data, b"VP8 ", 12),
-            _size(
-                _little_endian(data, 26, 2).bitwiseAND(low14),
-                _little_endian(data, 28, 2).bitwiseAND(low14),
-            ),
-        )
-        .when(
-            _starts(data, b"VP8L", 12),
-            _size(bits.bitwiseAND(low14) + 1, F.shiftright(bits, 14).bitwiseAND(low14) + 1),
-        )
-        .when(
-            _starts(data, b"VP8X", 12),
-            _size(_little_endian(data, 24, 3) + 1, _little_endian(data, 27, 3) + 1),
-        )
+    width = {
+        "WEBP lossy": w.bitwiseAND(low14),
+        "WEBP lossless": w.bitwiseAND(low14) + 1,
+        "WEBP extended": w + 1,
+    }
+    height = {
+        "BMP": F.when(h >= 2**31, 2**32 - h).otherwise(h),  # rows from the top
+        "WEBP lossy": h.bitwiseAND(low14),
+        "WEBP lossless": F.shiftright(h, 14).bitwiseAND(low14) + 1,
+        "WEBP extended": h + 1,
+    }
+    return F.struct(
+        F.substring_index(kind, " ", 1).alias("format"),
+        _choose(kind, width, w).try_cast("int").alias("width"),
+        _choose(kind, height, h).try_cast("int").alias("height"),
     )
 
 
-def header_size(data: Column, form: Column) -> Column:
-    """``struct<width, height>`` for the formats whose size stands at a fixed place."""
-    return (
-        F.when(form == "PNG", _size(_big_endian(data, 16, 4), _big_endian(data, 20, 4)))
-        .when(form == "GIF", _size(_little_endian(data, 6, 2), _little_endian(data, 8, 2)))
-        .when(form == "BMP", _bmp_size(data))
-        .when(form == "WEBP", _webp_size(data))
+def header_probe(data: Column) -> Column:
+    """``struct<format, width, height>`` from the first bytes of a payload.
+
+    The size of a JPEG does not stand at a fixed place and stays NULL here.
+    """
+    return let(
+        F.hex(F.substring(data, 1, max(HEADER_BYTES.values()))),
+        lambda header: let(
+            _kind(header),
+            lambda kind: let(_numbers(header, kind), lambda numbers: _size(numbers, kind)),
+        ),
     )
 
 
@@ -126,6 +166,7 @@ def jpeg_size(data: Column, form: Column) -> Column:
     """``struct<width, height>`` of JPEG payloads.
 
     The frame header follows a chain of variable-length segments, so this one
-    format is walked in Python; other payloads are sent there as NULL.
+    format is walked in Python; other payloads are sent there as NULL.  Marked
+    as nondeterministic, so that a filter on the result does not run it again.
     """
-    return _jpeg_sizes(F.when(form == "JPEG", data))
+    return _jpeg_sizes.asNondeterministic()(F.when(form == "JPEG", data))

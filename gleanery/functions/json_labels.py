@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import strip_fences
+from gleanery.functions.text import let, strip_fences
 from gleanery.schemas import CATEGORIES, LABEL_FLAG_FIELDS, LABEL_TEXT_FIELDS, MOODS
 
 # Strings that count as true, and the error prefixes.
@@ -22,12 +22,19 @@ def strict_json(text: Column) -> Column:
     therefore parsed as the first element of an array that a digest of the text
     ends: trailing text moves the digest or breaks the array.
     """
-    digest = F.md5(text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
-    closed = (F.try_variant_get(wrapped, "$[1]", "string") == digest) & F.try_variant_get(
-        wrapped, "$[2]", "variant"
-    ).isNull()
-    return F.when(closed, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    def closed(wrapped: Column, digest: Column) -> Column:
+        ends = F.try_variant_get(wrapped, "$[1]", "string") == digest
+        alone = F.try_variant_get(wrapped, "$[2]", "variant").isNull()
+        return F.when(ends & alone, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    return let(
+        F.md5(text),
+        lambda digest: let(
+            F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]'))),
+            lambda wrapped: closed(wrapped, digest),
+        ),
+    )
 
 
 def embedded_object(text: Column) -> Column:
@@ -37,8 +44,10 @@ def embedded_object(text: Column) -> Column:
 
 def answer_document(answer: Column) -> Column:
     """A model answer as a variant: the whole text, else the object embedded in it."""
-    text = strip_fences(answer)
-    return F.coalesce(strict_json(text), strict_json(embedded_object(text)))
+    return let(
+        strip_fences(answer),
+        lambda text: F.coalesce(strict_json(text), let(embedded_object(text), strict_json)),
+    )
 
 
 def parse_error(answer: Column, document: Column) -> Column:
@@ -68,22 +77,40 @@ def text_field(document: Column, name: str) -> Column:
 
 def flag_field(document: Column, name: str) -> Column:
     """A JSON boolean as it is; a string by the fixed true words."""
-    kind = field_type(document, name)
     value = text_field(document, name)
-    return F.when(kind == "BOOLEAN", F.try_variant_get(document, f"$.{name}", "boolean")).when(
-        kind == "STRING", F.lower(value).isin(*TRUE_WORDS)
+    return let(
+        field_type(document, name),
+        lambda kind: F.when(kind == "BOOLEAN", value == "true").when(
+            kind == "STRING", F.lower(value).isin(*TRUE_WORDS)
+        ),
     )
 
 
 def type_errors(document: Column) -> Column:
     """Names of the label fields whose JSON type does not fit their column."""
-    wrong = [
-        F.when(~field_type(document, name).isin("STRING", "VOID"), F.lit(name)) for name in LABEL_TEXT_FIELDS
-    ] + [
-        F.when(~field_type(document, name).isin("BOOLEAN", "STRING", "VOID"), F.lit(name))
-        for name in LABEL_FLAG_FIELDS
-    ]
-    return F.concat_ws(",", *wrong)
+    fitting = {name: ("STRING", "VOID") for name in LABEL_TEXT_FIELDS}
+    fitting |= {name: ("BOOLEAN", "STRING", "VOID") for name in LABEL_FLAG_FIELDS}
+    return F.concat_ws(
+        ",", *[F.when(~field_type(document, name).isin(*types), F.lit(name)) for name, types in fitting.items()]
+    )
+
+
+def rejection(document: Column) -> Column:
+    """Why a document cannot become a label row; NULL where it can, or where there is none."""
+    wrong = let(
+        type_errors(document), lambda names: F.when(names != "", F.concat(F.lit("label_type_error: "), names))
+    )
+    return F.when(
+        document.isNotNull(), F.when(is_object(document), wrong).otherwise(F.lit("label_not_an_object"))
+    )
+
+
+def label_struct(document: Column) -> Column:
+    """The typed label fields of a document."""
+    return F.struct(
+        *[text_field(document, name).alias(name) for name in LABEL_TEXT_FIELDS],
+        *[flag_field(document, name).alias(name) for name in LABEL_FLAG_FIELDS],
+    )
 
 
 def category_known(category: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,16 @@ WHITE_SPACE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once.
+
+    A filter on a derived column is pushed below the projection that derives
+    it, with the whole expression in place of every mention.  Expressions that
+    mention a costly value often are therefore bound with this.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def py_strip(col: Column) -> Column:
     """Strip Unicode white space at both ends (Spark's ``trim`` only knows U+0020)."""
     return F.btrim(col, F.lit(WHITE_SPACE))

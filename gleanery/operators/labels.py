@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions import json_labels as J
-from gleanery.schemas import LABEL_FLAG_FIELDS, LABEL_TEXT_FIELDS
+from gleanery.functions.text import let
 
 
 def flatten_label(df: DataFrame, document: str = "document") -> DataFrame:
     """Add the typed label columns of a variant column."""
-    doc = F.col(document)
-    return df.select(
-        "*",
-        *[J.text_field(doc, name).alias(name) for name in LABEL_TEXT_FIELDS],
-        *[J.flag_field(doc, name).alias(name) for name in LABEL_FLAG_FIELDS],
-    )
+    return df.withColumn("_label", let(F.col(document), J.label_struct)).select(*df.columns, "_label.*")
 
 
 def parse_labels(df: DataFrame, answer: str = "answer") -> DataFrame:
@@ -26,23 +21,22 @@ def parse_labels(df: DataFrame, answer: str = "answer") -> DataFrame:
     holds valid JSON that cannot become a label row, and goes to quarantine.
     """
     raw = F.col(answer)
-    parsed = df.withColumn("document", J.answer_document(raw))
-    doc = F.col("document")
-    checked = parsed.withColumns(
-        {
-            "error": J.parse_error(raw, doc),
-            "_wrong": F.when(doc.isNotNull() & J.is_object(doc), J.type_errors(doc)),
-            "_object": J.is_object(doc),
-        }
-    )
-    checked = checked.withColumn(
-        "rejected",
-        F.when(doc.isNotNull() & ~F.col("_object"), F.lit("label_not_an_object")).when(
-            F.col("_wrong") != "", F.concat(F.lit("label_type_error: "), F.col("_wrong"))
-        ),
-    ).withColumn("document", F.when(F.col("rejected").isNull(), doc))
-    return flatten_label(checked).withColumn("label_json", F.when(doc.isNotNull(), raw)).drop(
-        "document", "_wrong", "_object"
+
+    def verdict(document: Column) -> Column:
+        def fields(rejected: Column) -> Column:
+            usable = F.when(rejected.isNull(), document)
+            return F.struct(
+                J.label_struct(usable).alias("label"),
+                J.parse_error(raw, document).alias("error"),
+                F.when(document.isNotNull(), raw).alias("label_json"),
+                rejected.alias("rejected"),
+            )
+
+        return let(J.rejection(document), fields)
+
+    parsed = df.withColumn("_parsed", let(J.answer_document(raw), verdict))
+    return parsed.select(
+        *df.columns, "_parsed.label_json", "_parsed.label.*", "_parsed.error", "_parsed.rejected"
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.functions.image import header_size, image_format, jpeg_size
+from gleanery.functions.image import header_probe, jpeg_size
+from gleanery.functions.text import let
 from gleanery.schemas import FILTER_OUTPUT, LABEL_OUTPUT
 from gleanery.sources.scan import POSITION_COLS, check_columns, extract_bytes
 
@@ -68,20 +69,25 @@ def image_metadata(df: DataFrame, bytes_col: str = "image_bytes", mode: str = "s
     if mode not in ("sniff", "reference"):
         raise ValueError(f"unknown mode {mode!r}")
     data = F.col(bytes_col)
-    probed = df.drop("width", "height", "image_format", "decodable").withColumn("_format", image_format(data))
-    probed = probed.withColumn(
-        "_size", F.coalesce(header_size(data, F.col("_format")), jpeg_size(data, F.col("_format")))
+    plain = df.drop("width", "height", "image_format", "decodable")
+    probed = plain.withColumn("_head", header_probe(data)).withColumn(
+        "_jpeg", jpeg_size(data, F.col("_head.format"))
     )
-    width, height = F.col("_size.width"), F.col("_size.height")
-    decodable = width.isNotNull() & height.isNotNull()
-    form = F.lit("JPEG") if mode == "reference" else F.col("_format")
-    return probed.select(
-        "*",
-        F.nullif(width, F.lit(0)).alias("width"),
-        F.nullif(height, F.lit(0)).alias("height"),
-        F.when(decodable, form).alias("image_format"),
-        decodable.alias("decodable"),
-    ).drop("_format", "_size")
+
+    def described(found: Column) -> Column:
+        width = F.coalesce(found["head"]["width"], found["jpeg"]["width"])
+        height = F.coalesce(found["head"]["height"], found["jpeg"]["height"])
+        decodable = width.isNotNull() & height.isNotNull()
+        form = F.lit("JPEG") if mode == "reference" else found["head"]["format"]
+        return F.struct(
+            F.nullif(width, F.lit(0)).alias("width"),
+            F.nullif(height, F.lit(0)).alias("height"),
+            F.when(decodable, form).alias("image_format"),
+            decodable.alias("decodable"),
+        )
+
+    found = F.struct(F.col("_head").alias("head"), F.col("_jpeg").alias("jpeg"))
+    return probed.withColumn("_image", let(found, described)).select(*plain.columns, "_image.*")
 
 
 def payload_error(id_col: str = "id", bytes_col: str = "image_bytes") -> Column:
