@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import hint_if_small, stored
+from gleanery.session import hint_if_small, row_bytes, stored
 
 BLOCK_ROWS = 50_000
 
@@ -113,15 +113,15 @@ def attach_shard(df: DataFrame, rows_per_shard: int) -> tuple[DataFrame, int]:
     """
     block_rows = max(1024, min(16 * rows_per_shard, 65_536))
     edges = stored(shard_edges(df, rows_per_shard, block_rows))
-    rows = edges.agg(F.max("last_pos")).first()[0] or 0
+    seen = edges.agg(F.max("last_pos").alias("rows"), F.sum(row_bytes(edges)).alias("bytes")).first()
     row = F.col("src_row")
     started_here = F.size(F.filter("starts", lambda s: s <= row))
     placed = (
         df.withColumn("block", _block(block_rows))
-        .join(hint_if_small(edges.drop("last_pos")), ["src_file", "block"])
+        .join(hint_if_small(edges.drop("last_pos"), seen["bytes"] or 0), ["src_file", "block"])
         .withColumn("shard_index", (F.col("started") + started_here - 1).cast("bigint"))
     )
-    return placed.select(*df.columns, "shard_index"), rows
+    return placed.select(*df.columns, "shard_index"), seen["rows"] or 0
 
 
 def running_totals(

@@ -17,7 +17,9 @@ def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return df.join(seen, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
-def pending_rows(scan: DataFrame, done: DataFrame, key: str = "id", limit: int = BROADCAST_BYTES) -> DataFrame:
+def pending_rows(
+    scan: DataFrame, done: DataFrame, key: str = "id", limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """``pending`` for rows with large payloads.
 
     The payload stays in place while either the keys done or the places still

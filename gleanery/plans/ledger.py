@@ -35,9 +35,8 @@ def read_ledger(spark: SparkSession, cfg: CurationConfig) -> DataFrame:
 
 def record(spark: SparkSession, cfg: CurationConfig, run: Run, status: str) -> None:
     row = {**vars(run), "status": status}
-    spark.createDataFrame([tuple(row[name] for name in LEDGER.names)], LEDGER).coalesce(1).write.mode(
-        "append"
-    ).parquet(cfg.ledger_dir)
+    values = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in LEDGER.fields]
+    spark.range(1, numPartitions=1).select(*values).write.mode("append").parquet(cfg.ledger_dir)
 
 
 def runs(spark: SparkSession, cfg: CurationConfig, stage: str) -> dict[str, dict[str, Run]]:

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Rough in-memory size of a stored key table, from one aggregate over it."""
+def row_bytes(df: DataFrame) -> Column:
+    """Rough in-memory size of a row of a key table."""
     width = F.lit(48)
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
@@ -77,10 +77,15 @@ def measured_bytes(df: DataFrame) -> int:
             width = width + F.coalesce(F.size(field.name), F.lit(0)) * 8
         else:
             width = width + F.lit(8)
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
+    return width.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a stored key table, from one aggregate over it."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def hint_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+def hint_if_small(df: DataFrame, size: int | None = None) -> DataFrame:
     """``broadcast(df)`` where the measured size allows it, else ``df`` for a shuffled join."""
-    limit = BROADCAST_BYTES if limit is None else limit
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    size = measured_bytes(df) if size is None else size
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

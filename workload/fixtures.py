@@ -72,8 +72,8 @@ def answers_case(answers: dict[str, str], other: str, digit: str) -> str:
     return f"CASE {digit} {cases} ELSE {_quoted(other)} END"
 
 
-VERDICT_OF_IMAGE = answers_case(VERDICTS, OTHER_VERDICT, "substr(md5(data), 1, 1)")
-LABEL_OF_IMAGE = answers_case(LABELS, OTHER_LABEL, "substr(md5(data), 2, 1)")
+VERDICT_OF_DIGIT = answers_case(VERDICTS, OTHER_VERDICT, "digit")
+LABEL_OF_DIGIT = answers_case(LABELS, OTHER_LABEL, "digit")
 
 # File names as an exchange folder would hold them, one per document.
 FILE_NAMES = """

@@ -46,8 +46,8 @@ SELECT id, id AS file_name, file_path, data,
   {_FORMAT} AS image_format,
   CAST(CASE WHEN kind < 4 THEN w END AS INTEGER) AS width,
   CAST(CASE WHEN kind < 4 THEN h END AS INTEGER) AS height,
-  {_verdict(X.VERDICT_OF_IMAGE)} AS filter_result
-FROM ({_PAYLOADS}) AS p"""
+  {_verdict(X.VERDICT_OF_DIGIT)} AS filter_result
+FROM (SELECT *, substr(md5(data), 1, 1) AS digit FROM ({_PAYLOADS}) AS p) AS q"""
 
 _KEPT_MD5 = "CASE WHEN filter_result = 'YES' THEN md5(data) END"
 
@@ -281,8 +281,8 @@ SELECT {_FILTER_COLUMNS},
 FROM ({_STAGE}) AS s WHERE image_format IS NOT NULL"""
 
 _ASKED_LABELS = f"""
-SELECT id, file_path, data AS image, image_format, filter_result, {X.LABEL_OF_IMAGE} AS answer
-FROM ({_STAGE}) AS s WHERE image_format IS NOT NULL AND filter_result = 'YES'"""
+SELECT id, file_path, data AS image, image_format, filter_result, {X.LABEL_OF_DIGIT} AS answer
+FROM (SELECT *, substr(md5(data), 2, 1) AS digit FROM ({_STAGE}) AS s) AS t WHERE image_format IS NOT NULL AND filter_result = 'YES'"""
 
 _LABEL_ROWS = _flat(_ASKED_LABELS)
 
