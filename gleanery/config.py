@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 
@@ -33,6 +34,7 @@ class CurationConfig:
     backoff_max: float = 60.0
     call_rows: int = 8
     format_mode: str = "sniff"
+    decoder: Callable[[bytes], tuple[str, int, int] | None] | None = None
     dedupe_ids: bool = False
     retry_failed: bool = False
     keep_outcomes: bool = False

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -170,3 +170,30 @@ def jpeg_size(data: Column, form: Column) -> Column:
     as nondeterministic, so that a filter on the result does not run it again.
     """
     return _jpeg_sizes.asNondeterministic()(F.when(form == "JPEG", data))
+
+
+def decoded_size(data: Column, decoder: Callable[[bytes], tuple[str, int, int] | None]) -> Column:
+    """``struct<format, width, height>`` by a decoder of the caller, NULL where it fails."""
+
+    @F.arrow_udf(
+        T.StructType(
+            [
+                T.StructField("format", T.StringType()),
+                T.StructField("width", T.IntegerType()),
+                T.StructField("height", T.IntegerType()),
+            ]
+        )
+    )
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.struct([("format", pa.string()), ("width", pa.int32()), ("height", pa.int32())])
+        for batch in batches:
+            found = []
+            for value in batch:
+                try:
+                    image = decoder(value.as_py()) if value.is_valid and len(value.as_buffer()) else None
+                except Exception:
+                    image = None
+                found.append(dict(zip(("format", "width", "height"), image)) if image else None)
+            yield pa.array(found, type=kind)
+
+    return decode.asNondeterministic()(data)

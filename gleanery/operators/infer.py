@@ -20,7 +20,13 @@ from gleanery.session import prepare
 Model = Callable[[list[Any]], list[str]]
 ModelFactory = Callable[[], Model]
 
-_RESULT = "struct<answer:string,error:string,attempts:int>"
+_RESULT = T.StructType(
+    [
+        T.StructField("answer", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("attempts", T.IntegerType()),
+    ]
+)
 _RESULT_ARROW = pa.struct([("answer", pa.string()), ("error", pa.string()), ("attempts", pa.int32())])
 
 # One model per Python worker and factory.

@@ -18,13 +18,14 @@ from gleanery.session import hint_if_small, row_bytes, stored
 BLOCK_ROWS = 50_000
 
 
-def _block(block_rows: int) -> Column:
-    return F.floor(F.col("src_row") / F.lit(block_rows)).cast("bigint")
+def row_block(block_rows: int) -> Column:
+    """The block of source rows that a row lies in."""
+    return F.expr(f"src_row div {block_rows}")
 
 
 def block_offsets(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``src_file, block, block_offset``: rows before each block in scan order."""
-    counts = df.groupBy("src_file", _block(block_rows).alias("block")).agg(F.count("*").alias("n"))
+    counts = df.groupBy("src_file", row_block(block_rows).alias("block")).agg(F.count("*").alias("n"))
     earlier = (Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("src_file").orderBy("block").rowsBetween(*earlier)
     blocks = counts.withColumn("in_file", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
@@ -47,7 +48,7 @@ def with_position(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     column must be stored before.
     """
     in_block = Window.partitionBy("src_file", "block").orderBy("src_row")
-    ranked = df.withColumn("block", _block(block_rows)).withColumn("in_block", F.row_number().over(in_block))
+    ranked = df.withColumn("block", row_block(block_rows)).withColumn("in_block", F.row_number().over(in_block))
     return (
         ranked.join(block_offsets(df, block_rows), ["src_file", "block"])
         .withColumn("pos", F.col("block_offset") + F.col("in_block"))
@@ -98,7 +99,7 @@ def shard_edges(df: DataFrame, rows_per_shard: int, block_rows: int) -> DataFram
     placed = with_position(df.select("src_file", "src_row"), block_rows)
     starts_here = (F.col("pos") - 1) % rows_per_shard == 0
     first = F.min("pos")
-    return placed.groupBy("src_file", _block(block_rows).alias("block")).agg(
+    return placed.groupBy("src_file", row_block(block_rows).alias("block")).agg(
         F.ceil((first - 1) / F.lit(rows_per_shard)).cast("bigint").alias("started"),
         F.sort_array(F.collect_list(F.when(starts_here, F.col("src_row")))).alias("starts"),
         F.max("pos").alias("last_pos"),
@@ -117,7 +118,7 @@ def attach_shard(df: DataFrame, rows_per_shard: int) -> tuple[DataFrame, int]:
     row = F.col("src_row")
     started_here = F.size(F.filter("starts", lambda s: s <= row))
     placed = (
-        df.withColumn("block", _block(block_rows))
+        df.withColumn("block", row_block(block_rows))
         .join(hint_if_small(edges.drop("last_pos"), seen["bytes"] or 0), ["src_file", "block"])
         .withColumn("shard_index", (F.col("started") + started_here - 1).cast("bigint"))
     )

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.functions.image import header_probe, jpeg_size
+from gleanery.functions.image import decoded_size, header_probe, jpeg_size
 from gleanery.functions.text import let
 from gleanery.schemas import FILTER_OUTPUT, LABEL_OUTPUT
+from gleanery.session import prepare
 from gleanery.sources.scan import POSITION_COLS, check_columns, extract_bytes
 
 
@@ -61,18 +62,29 @@ def conform(df: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
     )
 
 
-def image_metadata(df: DataFrame, bytes_col: str = "image_bytes", mode: str = "sniff") -> DataFrame:
+def image_metadata(
+    df: DataFrame,
+    bytes_col: str = "image_bytes",
+    mode: str = "sniff",
+    decoder: Callable[[bytes], tuple[str, int, int] | None] | None = None,
+) -> DataFrame:
     """Add ``width``, ``height``, ``image_format`` and ``decodable`` from the headers.
 
-    ``mode='reference'`` names every decodable payload JPEG.
+    ``mode='reference'`` names every decodable payload JPEG.  With ``decoder``,
+    which gives ``(format, width, height)`` or fails, a full decode of every
+    payload decides instead of its header.
     """
     if mode not in ("sniff", "reference"):
         raise ValueError(f"unknown mode {mode!r}")
     data = F.col(bytes_col)
     plain = df.drop("width", "height", "image_format", "decodable")
-    probed = plain.withColumn("_head", header_probe(data)).withColumn(
-        "_jpeg", jpeg_size(data, F.col("_head.format"))
-    )
+    if decoder is None:
+        probed = plain.withColumn("_head", header_probe(data)).withColumn(
+            "_jpeg", jpeg_size(data, F.col("_head.format"))
+        )
+    else:
+        prepare(df.sparkSession)
+        probed = plain.withColumn("_head", decoded_size(data, decoder)).withColumn("_jpeg", F.col("_head"))
 
     def described(found: Column) -> Column:
         width = F.coalesce(found["head"]["width"], found["jpeg"]["width"])

@@ -16,7 +16,6 @@ import time
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +34,13 @@ from gleanery.operators.project import (
     to_label_output,
 )
 from gleanery.operators.resume import first_of_each, pending_rows
-from gleanery.plans.ledger import DONE, JUDGED, Run, record, runs
+from gleanery.plans.ledger import DONE, JUDGED, Run, read_ledger, record, runs
 from gleanery.plans.reports import run_stats
 from gleanery.schemas import ATTEMPTS, FILTER_OUTPUT, LABEL_OUTPUT
 from gleanery.session import prepare, read_or_empty
-from gleanery.sinks.shards import next_shard, write_shards
+from gleanery.sinks.shards import next_shard, read_shards, write_shards
 from gleanery.sinks.tables import write_quarantine
-from gleanery.sources.scan import scan_raw, with_source
+from gleanery.sources.scan import scan_raw
 
 log = logging.getLogger(__name__)
 
@@ -52,20 +51,25 @@ def _retry(cfg: CurationConfig, sleep: Callable[[float], None]) -> RetryPolicy:
     return RetryPolicy(cfg.max_attempts, cfg.backoff_base, cfg.backoff_max, sleep)
 
 
+def _attempted(spark: SparkSession, cfg: CurationConfig, stage: str, judged: Sequence[str]) -> DataFrame:
+    rows = read_or_empty(spark, cfg.attempts_dir(stage), ATTEMPTS)
+    return rows.where(F.col("run_id").isin(list(judged)))
+
+
 def attempts(spark: SparkSession, cfg: CurationConfig, stage: str) -> DataFrame:
     """Rows that judged runs of a stage attempted, with ``run_seq``; no payloads."""
-    judged = [r[JUDGED] for r in runs(spark, cfg, stage).values() if JUDGED in r]
-    rows = read_or_empty(spark, cfg.attempts_dir(stage), ATTEMPTS)
-    order = spark.createDataFrame([(r.run_id, r.run_seq) for r in judged], "run_id string, run_seq int")
-    return rows.where(F.col("run_id").isin([r.run_id for r in judged])).join(F.broadcast(order), "run_id")
+    rows = _attempted(spark, cfg, stage, list(runs(spark, cfg, stage)))
+    order = read_ledger(spark, cfg).where((F.col("stage") == stage) & (F.col("status") == JUDGED))
+    return rows.join(order.select("run_id", "run_seq"), "run_id")
 
 
 def _todo(
     spark: SparkSession, cfg: CurationConfig, stage: str, rows: DataFrame, key: str
 ) -> DataFrame:
     """Leave out what earlier runs attempted."""
-    if any(JUDGED in r for r in runs(spark, cfg, stage).values()):
-        done = attempts(spark, cfg, stage)
+    judged = list(runs(spark, cfg, stage))
+    if judged:
+        done = _attempted(spark, cfg, stage, judged)
         if cfg.retry_failed:
             done = done.where(F.col("status") != "error")
         rows = pending_rows(rows, done.select(F.col("id").alias(key)), key)
@@ -87,7 +91,9 @@ def _judge(
     rows = raw.select(*needed, F.col(cfg.id_col).cast("string").alias("_key"))
     rows = cap(_todo(spark, cfg, "filter", rows, "_key"), cfg.batch_size, cfg.num_batches)
     now = F.lit(datetime.now(timezone.utc))
-    probed = image_metadata(normalize(rows, cfg.id_col, cfg.bytes_col, now), mode=cfg.format_mode)
+    probed = image_metadata(
+        normalize(rows, cfg.id_col, cfg.bytes_col, now), mode=cfg.format_mode, decoder=cfg.decoder
+    )
     probed = probed.withColumn("payload_error", payload_error("file_name"))
     request = request_messages(
         cfg.filter_prompts.system, cfg.filter_prompts.user, ["image_bytes"], text_cols
@@ -265,10 +271,8 @@ def run_label(
     """Label the rows that the filter stage kept; without such a stage, do nothing."""
     prepare(spark)
     try:
-        stage = with_source(spark.read.parquet(cfg.output_dir("filter")))
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
+        stage = read_shards(spark, cfg.output_dir("filter"), FILTER_OUTPUT)
+    except FileNotFoundError:
         log.warning("no output of the filter stage in %s, run that first", cfg.output_dir("filter"))
         return None
     kept = stage.where(F.col("filter_result") == "YES")

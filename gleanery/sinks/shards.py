@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.operators.position import BLOCK_ROWS, _block, attach_shard, block_offsets
+from gleanery.operators.position import BLOCK_ROWS, attach_shard, block_offsets, row_block
 from gleanery.operators.project import conform
 from gleanery.session import hint_if_small, stored
 from gleanery.sources.files import file_manifest
@@ -43,6 +43,31 @@ def next_shard(spark: SparkSession, path: str, start: int = 1) -> int:
     return start if last is None else last + 1
 
 
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all shards with ``shard``, ``src_file`` and ``src_row``.
+
+    Reads every layout side by side, also plain ``shard-NNNNN.parquet`` files;
+    files that are no shards are left out.
+    """
+    with_number = T.StructType(list(schema.fields)).add("shard", T.LongType())
+    reader = spark.read.schema(with_number).option("recursiveFileLookup", "true")
+    try:
+        rows = reader.option("pathGlobFilter", "*.parquet").parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        raise FileNotFoundError(f"no such folder: {path}") from exc
+    file = F.col("_metadata.file_path")
+    named = [F.nullif(F.regexp_extract(file, _NUMBERED, i), F.lit("")).cast("bigint") for i in (1, 3)]
+    numbered = rows.select(
+        *schema.names,
+        F.coalesce(*named, F.col("shard")).alias("shard"),
+        file.alias("src_file"),
+        F.col("_metadata.row_index").alias("src_row"),
+    )
+    return numbered.where(F.col("shard").isNotNull())
+
+
 def write_shards(
     df: DataFrame,
     path: str,
@@ -129,7 +154,7 @@ def merge_shards(
     total = rows.select("src_row").count()
     part = F.floor(F.col("block_offset") / max(1, math.ceil(total / files))).cast("int")
     (
-        rows.withColumn("block", _block(BLOCK_ROWS))
+        rows.withColumn("block", row_block(BLOCK_ROWS))
         .join(hint_if_small(offsets), ["src_file", "block"])
         .repartitionById(files, part)
         .sortWithinPartitions("src_file", "src_row")

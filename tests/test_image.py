@@ -62,6 +62,17 @@ def test_filter_on_metadata(spark):
     assert image_metadata(df).where("width > 20 AND decodable").count() == 29
 
 
+def test_a_decoder_decides_instead(spark):
+    def decoder(data):
+        if data == b"bad":
+            raise OSError("cannot decode")
+        return ("TIFF", len(data), 2) if data.startswith(b"II") else None
+
+    rows = [(bytearray(d),) if d is not None else (None,) for d in (b"II*", b"bad", png(), b"", None)]
+    got = image_metadata(spark.createDataFrame(rows, "image_bytes binary"), decoder=decoder).collect()
+    assert [(r["image_format"], r["width"], r["decodable"]) for r in got] == [("TIFF", 3, True)] + [(None, None, False)] * 4
+
+
 def test_damaged_jpegs_never_fail():
     rng = random.Random(3)
     whole = jpeg(640, 480, [(0xE0, b"JFIF\0"), (0xFE, b"note")])
