@@ -38,6 +38,7 @@ class CurationConfig:
     dedupe_ids: bool = False
     retry_failed: bool = False
     keep_outcomes: bool = False
+    one_file_per_shard: bool = True
     filter_prompts: Prompts = field(
         default=Prompts("You judge the quality of images.", "Keep this image? Answer YES or NO.")
     )

@@ -174,6 +174,7 @@ def _finish(spark: SparkSession, cfg: CurationConfig, run: Run) -> None:
         cfg.rows_per_shard,
         cfg.compression,
         start=run.first_shard,
+        one_file=cfg.one_file_per_shard,
     )
     rejected = outcomes.where(failed).select(
         "id", "error", F.lit(run.stage).alias("stage"), F.lit(run.run_id).alias("run_id")

@@ -76,6 +76,7 @@ def write_shards(
     compression: str = "snappy",
     start: int | None = None,
     max_shard_dirs: int = MAX_SHARD_DIRS,
+    one_file: bool = True,
 ) -> int:
     """Write ``df`` in scan order as shards of at most ``rows_per_shard`` rows.
 
@@ -83,8 +84,12 @@ def write_shards(
     of more than ``max_shard_dirs`` shards puts them into one directory, whole
     shards per file, with ``shard`` as a column.  Numbers go on from the
     highest existing one; passing ``start`` replaces the shards that an
-    interrupted write of the same rows left behind.  The wide rows are shuffled
-    once.  Returns the number of shards written.
+    interrupted write of the same rows left behind.
+
+    The wide rows are shuffled once, into at most ``spark.sql.shuffle.partitions``
+    tasks.  Without ``one_file`` they are not shuffled at all: every task writes
+    the parts of shards that it has read, so a shard on the border of two input
+    splits gets two files.  Returns the number of shards written.
     """
     spark = df.sparkSession
     last, ranges = _numbering(spark, path)
@@ -93,16 +98,18 @@ def write_shards(
     if not rows:
         return 0
     count = math.ceil(rows / rows_per_shard)
-    per_task = math.ceil(count / max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(count / 16)))
-    clustered = placed.withColumn("_shard", F.col("shard_index") + first).repartitionById(
-        math.ceil(count / per_task), F.floor(F.col("shard_index") / per_task).cast("int")
-    )
+    placed = placed.withColumn("_shard", F.col("shard_index") + first)
+    if one_file:
+        per_task = math.ceil(count / int(spark.conf.get("spark.sql.shuffle.partitions")))
+        placed = placed.repartitionById(
+            math.ceil(count / per_task), F.floor(F.col("shard_index") / per_task).cast("int")
+        )
     if ranges or (ranges is None and count > max_shard_dirs):
         whole = f"{first:05d}-{first + count - 1:05d}"
         keys, partition = {"shards": F.lit(whole), "shard": F.col("_shard")}, "shards"
     else:
         keys, partition = {"shard": F.format_string("%05d", F.col("_shard"))}, "shard"
-    shaped = clustered.withColumns(keys).sortWithinPartitions(partition, "_shard", "src_file", "src_row")
+    shaped = placed.withColumns(keys).sortWithinPartitions(partition, "_shard", "src_file", "src_row")
     (
         conform(shaped, schema, *keys)
         .write.mode("overwrite")

@@ -73,6 +73,13 @@ def test_many_shards_share_a_directory(spark, path):
     assert spread.where("k > 1").count() == 0
 
 
+def test_shards_without_a_shuffle(spark, path):
+    df = numbers(spark, 100)
+    assert write_shards(df, f"{path}/out", SCHEMA, 10, one_file=False) == 10
+    rows = spark.read.parquet(f"{path}/out")
+    assert rows.count() == 100 and rows.where("shard <> n div 10 + 1").count() == 0
+
+
 def test_merge_keeps_order_and_unites_columns(spark, path):
     src = f"{path}/src"
     os.mkdir(src)
