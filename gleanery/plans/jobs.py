@@ -4,7 +4,8 @@ A job writes what the model said once, to an outcome table, and derives shards,
 quarantine and statistics from that table, so that no row is judged twice.  The
 ledger says how far a run came:
 
-- not in the ledger: the run counts as never started and is judged anew,
+- not in the ledger: the run counts as never started and is judged anew (a run
+  that found no rows leaves no entry),
 - ``judged``: its outcomes are complete, only the derived tables are written,
 - ``done``: nothing is left to do.
 """
@@ -64,10 +65,9 @@ def attempts(spark: SparkSession, cfg: CurationConfig, stage: str) -> DataFrame:
 
 
 def _todo(
-    spark: SparkSession, cfg: CurationConfig, stage: str, rows: DataFrame, key: str
+    spark: SparkSession, cfg: CurationConfig, stage: str, judged: Sequence[str], rows: DataFrame, key: str
 ) -> DataFrame:
-    """Leave out what earlier runs attempted."""
-    judged = list(runs(spark, cfg, stage))
+    """Leave out what the judged runs attempted."""
     if judged:
         done = _attempted(spark, cfg, stage, judged)
         if cfg.retry_failed:
@@ -79,6 +79,7 @@ def _todo(
 def _judge(
     spark: SparkSession,
     cfg: CurationConfig,
+    judged: Sequence[str],
     model_factory: ModelFactory,
     raw: DataFrame,
     text_cols: Sequence[str],
@@ -89,7 +90,7 @@ def _judge(
     path = ["file_path"] if "file_path" in raw.columns else []
     needed = list(dict.fromkeys([cfg.id_col, cfg.bytes_col, *path, "src_file", "src_row"]))
     rows = raw.select(*needed, F.col(cfg.id_col).cast("string").alias("_key"))
-    rows = cap(_todo(spark, cfg, "filter", rows, "_key"), cfg.batch_size, cfg.num_batches)
+    rows = cap(_todo(spark, cfg, "filter", judged, rows, "_key"), cfg.batch_size, cfg.num_batches)
     now = F.lit(datetime.now(timezone.utc))
     probed = image_metadata(
         normalize(rows, cfg.id_col, cfg.bytes_col, now), mode=cfg.format_mode, decoder=cfg.decoder
@@ -125,6 +126,7 @@ def _judge(
 def _label(
     spark: SparkSession,
     cfg: CurationConfig,
+    judged: Sequence[str],
     model_factory: ModelFactory,
     kept: DataFrame,
     text_cols: Sequence[str],
@@ -132,7 +134,7 @@ def _label(
     profile: ResourceProfile | None,
 ) -> DataFrame:
     """Outcomes of the label stage."""
-    rows = _todo(spark, cfg, "label", kept, "id")
+    rows = _todo(spark, cfg, "label", judged, kept, "id")
     # The filter stage named a format for every payload whose header it could read.
     rows = rows.drop("error", "processed_at").withColumn("decodable", F.col("image_format").isNotNull())
     rows = rows.withColumn("payload_error", payload_error())
@@ -167,19 +169,21 @@ def _finish(spark: SparkSession, cfg: CurationConfig, run: Run) -> None:
     """Write shards and quarantine of a judged run; safe to repeat."""
     outcomes = spark.read.parquet(f"{cfg.outcomes_dir(run.stage)}/run_id={run.run_id}")
     failed = F.col("status") == "error"
-    write_shards(
-        outcomes.where(~failed).drop("shard"),
-        cfg.output_dir(run.stage),
-        _SCHEMAS[run.stage],
-        cfg.rows_per_shard,
-        cfg.compression,
-        start=run.first_shard,
-        one_file=cfg.one_file_per_shard,
-    )
-    rejected = outcomes.where(failed).select(
-        "id", "error", F.lit(run.stage).alias("stage"), F.lit(run.run_id).alias("run_id")
-    )
-    write_quarantine(rejected, cfg.quarantine_dir)
+    if run.total > run.errors:
+        write_shards(
+            outcomes.where(~failed).drop("shard"),
+            cfg.output_dir(run.stage),
+            _SCHEMAS[run.stage],
+            cfg.rows_per_shard,
+            cfg.compression,
+            start=run.first_shard,
+            one_file=cfg.one_file_per_shard,
+        )
+    if run.errors:
+        rejected = outcomes.where(failed).select(
+            "id", "error", F.lit(run.stage).alias("stage"), F.lit(run.run_id).alias("run_id")
+        )
+        write_quarantine(rejected, cfg.quarantine_dir)
     record(spark, cfg, run, DONE)
     if not cfg.keep_outcomes:
         # Rows and payloads are in the shards now; only the schema stays here.
@@ -192,7 +196,7 @@ def _run(
     spark: SparkSession,
     cfg: CurationConfig,
     stage: str,
-    judge: Callable[[], DataFrame],
+    judge: Callable[[Sequence[str]], DataFrame],
     run_id: str | None,
 ) -> Run:
     known = runs(spark, cfg, stage)
@@ -207,7 +211,7 @@ def _run(
     outcomes_path = f"{cfg.outcomes_dir(stage)}/run_id={run_id}"
     attempts_path = f"{cfg.attempts_dir(stage)}/run_id={run_id}"
 
-    judge().write.mode("overwrite").option("compression", cfg.compression).parquet(outcomes_path)
+    judge(list(known)).write.mode("overwrite").option("compression", cfg.compression).parquet(outcomes_path)
 
     keys = spark.read.parquet(outcomes_path)
     if stage == "filter":
@@ -228,8 +232,11 @@ def _run(
         stats["kept"],
         stats["skipped"],
         stats["errors"],
-        next_shard(spark, cfg.output_dir(stage)),
+        next_shard(spark, cfg.output_dir(stage)) if stats["total"] else 0,
     )
+    if not run.total:
+        log.info("%s: nothing to process", stage)
+        return run
     record(spark, cfg, run, JUDGED)
     _finish(spark, cfg, run)
     log.info("%s run %s: %s", stage, run_id, stats.asDict())
@@ -255,7 +262,11 @@ def run_filter(
     prepare(spark)
     rows = scan_raw(spark, cfg.raw_dir, cfg.id_col, cfg.bytes_col) if raw is None else raw
     return _run(
-        spark, cfg, "filter", lambda: _judge(spark, cfg, model_factory, rows, text_cols, sleep, profile), run_id
+        spark,
+        cfg,
+        "filter",
+        lambda judged: _judge(spark, cfg, judged, model_factory, rows, text_cols, sleep, profile),
+        run_id,
     )
 
 
@@ -278,7 +289,11 @@ def run_label(
         return None
     kept = stage.where(F.col("filter_result") == "YES")
     return _run(
-        spark, cfg, "label", lambda: _label(spark, cfg, model_factory, kept, text_cols, sleep, profile), run_id
+        spark,
+        cfg,
+        "label",
+        lambda judged: _label(spark, cfg, judged, model_factory, kept, text_cols, sleep, profile),
+        run_id,
     )
 
 

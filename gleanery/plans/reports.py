@@ -71,7 +71,7 @@ def label_report(labels: DataFrame) -> DataFrame:
 
 def image_inventory(images: DataFrame, bytes_col: str = "image_bytes") -> DataFrame:
     """Payload counts and sizes per format; undecodable ones have format NULL."""
-    size = F.octet_length(bytes_col)
+    size = F.octet_length(bytes_col).cast("bigint")
     return images.groupBy("image_format").agg(
         F.count("*").alias("rows"),
         F.count_if(~F.col("decodable")).alias("undecodable"),
