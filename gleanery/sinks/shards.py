@@ -13,6 +13,7 @@ from gleanery.operators.position import BLOCK_ROWS, attach_shard, block_offsets,
 from gleanery.operators.project import conform
 from gleanery.session import hint_if_small, stored
 from gleanery.sources.files import file_manifest
+from gleanery.sources.scan import file_path, with_source
 
 # Above this many shards in one write, a directory holds a range of shards.
 MAX_SHARD_DIRS = 10_000
@@ -57,7 +58,7 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         if "PATH_NOT_FOUND" not in str(exc):
             raise
         raise FileNotFoundError(f"no such folder: {path}") from exc
-    file = F.col("_metadata.file_path")
+    file = file_path()
     named = [F.nullif(F.regexp_extract(file, _NUMBERED, i), F.lit("")).cast("bigint") for i in (1, 3)]
     numbered = rows.select(
         *schema.names,
@@ -145,12 +146,7 @@ def merge_shards(
         size = None
     if size is None:
         raise FileNotFoundError(f"no file matches {pattern!r} in {src}")
-    rows = (
-        spark.read.option("mergeSchema", True)
-        .option("pathGlobFilter", pattern)
-        .parquet(src)
-        .select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
-    )
+    rows = with_source(spark.read.option("mergeSchema", True).option("pathGlobFilter", pattern).parquet(src))
     columns = rows.columns[:-2]
     if schema is not None:
         if columns != schema.names:

@@ -9,6 +9,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.sources.scan import file_path
+
 # Paths read by one load; a larger selection is loaded by reading the common folder.
 _PATHS_PER_LOAD = 10_000
 
@@ -81,5 +83,5 @@ def load_selected(spark: SparkSession, selected: DataFrame, base_path: str) -> D
         raise FileNotFoundError(f"no file selected in {base_path}")
     if len(paths) <= _PATHS_PER_LOAD:
         return reader.parquet(*paths)
-    rows = reader.parquet(base_path).withColumn("_path", F.col("_metadata.file_path"))
+    rows = reader.parquet(base_path).withColumn("_path", file_path())
     return rows.join(selected.select(F.col("path").alias("_path")), "_path", "left_semi").drop("_path")

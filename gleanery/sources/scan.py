@@ -23,11 +23,18 @@ def _parquet(spark: SparkSession, path: str, schema: T.StructType | None = None)
         raise
 
 
+def file_path() -> Column:
+    """The path of the file that a row comes from, as its name is, not URL-encoded."""
+    encoded = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
+
+
 def with_source(df: DataFrame) -> DataFrame:
     """Add the file and the row within it, which together give the scan order."""
     return df.select(
         "*",
-        F.col("_metadata.file_path").alias("src_file"),
+        file_path().alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
     )
 

@@ -107,6 +107,21 @@ def test_manifest_and_selection(spark, path):
     assert load_selected(spark, chosen, path).count() == 3
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_file_names_with_special_characters(spark, path, limit, monkeypatch):
+    monkeypatch.setattr("gleanery.sources.files._PATHS_PER_LOAD", limit)
+    names = ["k=a%3Ab/p 1.parquet", "k=x y+z/é.parquet", "k=x y+z/!.parquet", "k=x y+z/ .parquet"]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+        pq.write_table(pa.table({"id": [name], "data": [b"x"]}), f"{path}/{name}")
+    files = file_manifest(spark, path, recursive=True)
+    assert {r["rel_path"] for r in files.collect()} == set(names)
+    chosen = files.where(~F.col("rel_path").contains("!"))
+    assert {r["id"] for r in load_selected(spark, chosen, path).collect()} == set(names) - {names[2]}
+    rows = scan_raw(spark, f"{path}/k=x y+z").orderBy("src_file").collect()
+    assert [r["id"] for r in rows] == [names[3], names[2], names[1]]
+
+
 def test_union_checks_types(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([("y", 2.0)], "s string, d double")
