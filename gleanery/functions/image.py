@@ -9,8 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.functions.text import let
-
 
 # Bytes of header that hold the size, by kind of file.
 HEADER_BYTES = {
@@ -24,104 +22,100 @@ HEADER_BYTES = {
 }
 
 
-def _at(header: Column, signature: bytes, offset: int = 0) -> Column:
-    return F.substring(header, 2 * offset + 1, 2 * len(signature)) == signature.hex().upper()
+def _at(signature: bytes, offset: int = 0) -> str:
+    return f"substring(head, {2 * offset + 1}, {2 * len(signature)}) = '{signature.hex().upper()}'"
 
 
-def _big_endian(header: Column, offset: int, length: int) -> Column:
-    return F.substring(header, 2 * offset + 1, 2 * length)
+def _big_endian(offset: int, length: int) -> str:
+    return f"substring(head, {2 * offset + 1}, {2 * length})"
 
 
-def _little_endian(header: Column, offset: int, length: int) -> Column:
-    return F.concat(*[F.substring(header, 2 * (offset + i) + 1, 2) for i in reversed(range(length))])
+def _little_endian(offset: int, length: int) -> str:
+    return "concat(" + ", ".join(_big_endian(offset + i, 1) for i in reversed(range(length))) + ")"
 
 
-def _kind(header: Column) -> Column:
-    """The kind of file by its signature; NULL where none fits."""
-    webp = _at(header, b"RIFF") & _at(header, b"WEBP", 8)
-    return (
-        F.when(_at(header, b"\x89PNG\r\n\x1a\n") & _at(header, b"IHDR", 12), "PNG")
-        .when(_at(header, b"\xff\xd8\xff"), "JPEG")
-        .when(_at(header, b"GIF87a") | _at(header, b"GIF89a"), "GIF")
-        .when(_at(header, b"BM") & _at(header, b"\x0c\0\0\0", 14), "BMP core")
-        .when(_at(header, b"BM"), "BMP")
-        .when(webp & _at(header, b"VP8 ", 12), "WEBP lossy")
-        .when(webp & _at(header, b"VP8L", 12), "WEBP lossless")
-        .when(webp & _at(header, b"VP8X", 12), "WEBP extended")
-    )
+def _by_kind(values: dict[str, str | int], other: str = "NULL") -> str:
+    return "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + f" ELSE {other} END"
 
 
-def _choose(kind: Column, by_kind: dict[str, Column], other: Column | None = None) -> Column:
-    chosen = F.when(F.lit(False), F.lit(None))
-    for name, value in by_kind.items():
-        chosen = chosen.when(kind == name, value)
-    return chosen if other is None else chosen.otherwise(other)
-
-
-def _numbers(header: Column, kind: Column) -> Column:
-    """Width and height fields as they stand in the header."""
-    packed = _little_endian(header, 21, 4)
-    width = {
-        "PNG": _big_endian(header, 16, 4),
-        "GIF": _little_endian(header, 6, 2),
-        "BMP core": _little_endian(header, 18, 2),
-        "BMP": _little_endian(header, 18, 4),
-        "WEBP lossy": _little_endian(header, 26, 2),
-        "WEBP lossless": packed,
-        "WEBP extended": _little_endian(header, 24, 3),
-    }
-    height = {
-        "PNG": _big_endian(header, 20, 4),
-        "GIF": _little_endian(header, 8, 2),
-        "BMP core": _little_endian(header, 20, 2),
-        "BMP": _little_endian(header, 22, 4),
-        "WEBP lossy": _little_endian(header, 28, 2),
-        "WEBP lossless": packed,
-        "WEBP extended": _little_endian(header, 27, 3),
-    }
-    complete = F.length(header) >= 2 * _choose(kind, {k: F.lit(n) for k, n in HEADER_BYTES.items()})
-    return F.struct(
-        *[
-            F.conv(F.when(complete, _choose(kind, digits)), 16, 10).cast("bigint").alias(name)
-            for name, digits in (("w", width), ("h", height))
-        ]
-    )
+def _bind(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
 
+_WEBP = f"{_at(b'RIFF')} AND {_at(b'WEBP', 8)}"
 
-def _size(numbers: Column, kind: Column) -> Column:
-    """Width and height, after what some kinds pack into or add to the fields."""
-    w, h = numbers["w"], numbers["h"]
-    low14 = F.lit(0x3FFF)
-    width = {
-        "WEBP lossy": w.bitwiseAND(low14),
-        "WEBP lossless": w.bitwiseAND(low14) + 1,
-        "WEBP extended": w + 1,
+# The kind of file by its signature; NULL where none fits.
+_KIND = f"""CASE
+  WHEN {_at(bytes.fromhex("89504E470D0A1A0A"))} AND {_at(b"IHDR", 12)} THEN 'PNG'
+  WHEN {_at(bytes.fromhex("FFD8FF"))} THEN 'JPEG'
+  WHEN {_at(b"GIF87a")} OR {_at(b"GIF89a")} THEN 'GIF'
+  WHEN {_at(b"BM")} AND {_at(bytes.fromhex("0C000000"), 14)} THEN 'BMP core'
+  WHEN {_at(b"BM")} THEN 'BMP'
+  WHEN {_WEBP} AND {_at(b"VP8 ", 12)} THEN 'WEBP lossy'
+  WHEN {_WEBP} AND {_at(b"VP8L", 12)} THEN 'WEBP lossless'
+  WHEN {_WEBP} AND {_at(b"VP8X", 12)} THEN 'WEBP extended'
+END"""
+
+# Hex digits of the two fields as they stand in the header.
+_WIDTH_DIGITS = _by_kind(
+    {
+        "PNG": _big_endian(16, 4),
+        "GIF": _little_endian(6, 2),
+        "BMP core": _little_endian(18, 2),
+        "BMP": _little_endian(18, 4),
+        "WEBP lossy": _little_endian(26, 2),
+        "WEBP lossless": _little_endian(21, 4),
+        "WEBP extended": _little_endian(24, 3),
     }
-    height = {
-        "BMP": F.when(h >= 2**31, 2**32 - h).otherwise(h),  # rows from the top
-        "WEBP lossy": h.bitwiseAND(low14),
-        "WEBP lossless": F.shiftright(h, 14).bitwiseAND(low14) + 1,
-        "WEBP extended": h + 1,
+)
+_HEIGHT_DIGITS = _by_kind(
+    {
+        "PNG": _big_endian(20, 4),
+        "GIF": _little_endian(8, 2),
+        "BMP core": _little_endian(20, 2),
+        "BMP": _little_endian(22, 4),
+        "WEBP lossy": _little_endian(28, 2),
+        "WEBP lossless": _little_endian(21, 4),
+        "WEBP extended": _little_endian(27, 3),
     }
-    return F.struct(
-        F.substring_index(kind, " ", 1).alias("format"),
-        _choose(kind, width, w).try_cast("int").alias("width"),
-        _choose(kind, height, h).try_cast("int").alias("height"),
-    )
+)
+
+
+def _number(digits: str) -> str:
+    complete = f"length(head) >= 2 * {_by_kind(HEADER_BYTES)}"
+    return f"bigint(conv(CASE WHEN {complete} THEN {digits} END, 16, 10))"
+
+
+# Some kinds pack other bits into a field or store one less than the size;
+# a negative BMP height, as two's complement, says that rows run from the top.
+_WIDTH = _by_kind(
+    {"WEBP lossy": "size.w & 16383", "WEBP lossless": "(size.w & 16383) + 1", "WEBP extended": "size.w + 1"},
+    "size.w",
+)
+_HEIGHT = _by_kind(
+    {
+        "BMP": f"CASE WHEN size.h >= {2**31} THEN {2**32} - size.h ELSE size.h END",
+        "WEBP lossy": "size.h & 16383",
+        "WEBP lossless": "(shiftright(size.h, 14) & 16383) + 1",
+        "WEBP extended": "size.h + 1",
+    },
+    "size.h",
+)
 
 
-def header_probe(data: Column) -> Column:
+def header_probe(bytes_col: str) -> Column:
     """``struct<format, width, height>`` from the first bytes of a payload.
 
     The size of a JPEG does not stand at a fixed place and stays NULL here.
     """
-    return let(
-        F.hex(F.substring(data, 1, max(HEADER_BYTES.values()))),
-        lambda header: let(
-            _kind(header),
-            lambda kind: let(_numbers(header, kind), lambda numbers: _size(numbers, kind)),
-        ),
+    name = bytes_col.replace("`", "``")
+    found = (
+        "named_struct('format', substring_index(kind, ' ', 1), "
+        f"'width', try_cast({_WIDTH} AS int), 'height', try_cast({_HEIGHT} AS int))"
     )
+    sized = _bind("size", f"named_struct('w', {_number(_WIDTH_DIGITS)}, 'h', {_number(_HEIGHT_DIGITS)})", found)
+    header = f"hex(substring(`{name}`, 1, {max(HEADER_BYTES.values())}))"
+    return F.expr(_bind("head", header, _bind("kind", _KIND, sized)))
 
 
 def jpeg_dimensions(data: bytes | memoryview) -> tuple[int, int] | None:

@@ -79,7 +79,7 @@ def image_metadata(
     data = F.col(bytes_col)
     plain = df.drop("width", "height", "image_format", "decodable")
     if decoder is None:
-        probed = plain.withColumn("_head", header_probe(data)).withColumn(
+        probed = plain.withColumn("_head", header_probe(bytes_col)).withColumn(
             "_jpeg", jpeg_size(data, F.col("_head.format"))
         )
     else:

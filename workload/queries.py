@@ -465,7 +465,7 @@ def append_rows(spark, sf_dir):
 @query("merge_shards")
 def merge_into_files(spark, sf_dir):
     merged = scratch_dir(spark)
-    merge_shards(spark, _sharded_documents(spark, sf_dir), merged, target_bytes=1 << 20)
+    merge_shards(spark, _sharded_documents(spark, sf_dir), merged)
     return spark.read.parquet(merged).select("doc_id", F.md5("text").alias("text_md5"))
 
 
@@ -489,14 +489,18 @@ def union_tables(spark, sf_dir):
 # ---- jobs ----
 
 
-def _raw_images(spark, sf_dir, files=8):
+def _raw_images(spark, sf_dir):
     """Payloads as raw Parquet files whose order is that of the documents."""
-    path = scratch_dir(spark)
+    path, files = scratch_dir(spark), _partitions(spark)
     rows = _payloads(spark, sf_dir).select("doc_id", "data", "file_path")
     rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
     return path
 
 
+def _partitions(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 _job_roots: dict[tuple[str, str], CurationConfig] = {}
 
 
@@ -586,8 +590,8 @@ def job_all_stages(spark, sf_dir):
 
 @query("job_incremental")
 def job_incremental(spark, sf_dir):
-    cfg = _config(spark, _raw_images(spark, sf_dir, files=3))
-    run_incremental(spark, cfg, filter_model(), max_files=2)
+    cfg = _config(spark, _raw_images(spark, sf_dir))
+    run_incremental(spark, cfg, filter_model(), max_files=_partitions(spark) // 2 + 1)
     return _filter_columns(spark.read.parquet(cfg.output_dir("filter")))
 
 
