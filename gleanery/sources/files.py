@@ -6,6 +6,7 @@ import fnmatch
 import re
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +23,14 @@ def file_manifest(
 
     The content column is pruned, so no file is opened.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length", F.col("modificationTime").alias("modified_at"))
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    try:
+        found = reader.option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        raise FileNotFoundError(f"no such folder: {path}") from exc
+    files = found.select("path", "length", F.col("modificationTime").alias("modified_at"))
     root = re.escape(re.sub(r"^[a-z0-9]+:/*", "/", path).rstrip("/"))
     listed = files.select(
         "path",
