@@ -37,7 +37,7 @@ HEADLINE = (
 )
 
 # A query that has used this many seconds is not repeated.
-ENOUGH_SECONDS = 45
+ENOUGH_SECONDS = 25
 
 
 def timed(spark, name: str, sf_dir: str) -> float:
