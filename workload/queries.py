@@ -498,7 +498,7 @@ def _raw_images(spark, sf_dir):
 
 
 def _partitions(spark):
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.sparkContext.defaultParallelism
 
 
 _job_roots: dict[tuple[str, str], CurationConfig] = {}
