@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -41,7 +42,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder that the session names."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _local_scratch:
             _local_scratch.append(tempfile.mkdtemp(prefix="gleanery-scratch-"))
