@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .exact import exact_duplicates
 from .near import near_duplicates
+from .neighbours import nearest
 from .packing import pack_documents
+from .quality import fit_quality, score_quality
 from .sharding import shard_rows
 from .substring import remove_repeats
 
@@ -19,6 +21,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = "file://" + public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
@@ -47,6 +60,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_quality_crf,
+        op3_nearest,
         op5_byte_bpe,
         op6_near_dedup,
         op7_best_fit_packing,
