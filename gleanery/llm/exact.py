@@ -122,7 +122,7 @@ def exact_duplicates(
     else:
         rows = stored(rows.join(done, "row"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
-    groups = rows.groupBy("depth", "name").agg(F.min(order).alias("best"), F.count("*").alias("group_size"))
+    groups = stored(rows.groupBy("depth", "name").agg(F.min(order).alias("best"), F.count("*").alias("group_size")))
     return rows.join(groups, ["depth", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

@@ -343,7 +343,7 @@ def near_duplicates(
     rows = rows.withColumn("component", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("row")))
     rows = stored(rows.select("row", "doc_id", "n_shingles", "component"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    best = rows.groupBy("component").agg(F.min(order).alias("best"))
+    best = stored(rows.groupBy("component").agg(F.min(order).alias("best")))
     return rows.join(best, "component").select(
         "doc_id",
         "n_shingles",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .exact import exact_duplicates
+from .licences import licences_sql, recognise_licences
 from .near import near_duplicates
 from .neighbours import nearest
 from .packing import pack_documents
@@ -32,6 +33,10 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recognise_licences(_table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = "file://" + public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_quality_crf,
         op3_nearest,
+        op4_licences,
         op5_byte_bpe,
         op6_near_dedup,
         op7_best_fit_packing,
@@ -130,6 +136,7 @@ FROM t
 """
 
 ORACLES: dict[str, str] = {
+    "op4_licences": licences_sql(),
     "op6_near_dedup": _OP6,
     "op9_substring_dedup": _OP9,
     "op10_exact_dedup": _OP10,
