@@ -58,6 +58,33 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one computation in the shared folder; they are removed when it ends.
+
+    What outlives it has to be written elsewhere first, see ``stored``.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back, until the computation ends."""
+        path = scratch_dir(self._spark)
+        self._paths.append(path)
+        df.write.mode("errorifexists").parquet(f"{path}/table")
+        return self._spark.read.schema(df.schema).parquet(f"{path}/table")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        context = self._spark.sparkContext
+        for path in self._paths:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or no rows where nothing was written yet."""
     try:
