@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +43,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number of its own for each row, written down so that it stays."""
-    return stored(docs.select(F.monotonically_increasing_id().alias("place"), *COLUMNS))
+    """``docs`` with a place of its own for each row, which every reading of the same files gives again."""
+    try:
+        at = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        return docs.select(at.alias("place"), *COLUMNS)
+    except AnalysisException:  # not straight from files: written down, so that it stays
+        return stored(docs.select(F.monotonically_increasing_id().alias("place"), *COLUMNS))
 
 
 def _key() -> Column:

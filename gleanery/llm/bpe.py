@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from gleanery.session import prepare
 
+from .words import small
+
 # Pieces that a worker remembers in each of two generations.
 MEMO_PIECES = 300_000
 
@@ -197,7 +199,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value
         decimal = bpe.decimal.__getitem__
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column("text")
             n, hashed, decoded, kept = [], [], [], []
             for text in texts:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import stored
+from gleanery.session import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, tmp: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has an edge; the component is its smallest node.
 
     ``edges`` are pairs of longs in any direction; loops, repeats and nulls do
@@ -41,10 +41,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     logarithm of the longest path.
     """
     u, v = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
-    now = stored(edges.where(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct())
+    now = tmp.store(edges.where(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct())
     before = _state(now)
     while before[0]:
-        now = stored(_small_star(_large_star(now)))
+        now = tmp.store(_small_star(_large_star(now)))
         after = _state(now)
         if after == before:
             break

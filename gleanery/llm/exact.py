@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import stored
+from gleanery.session import Scratch, stored
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -80,6 +80,18 @@ def exact_duplicates(
     place. Other columns are ignored, whatever their names. ``hash_bits`` below
     64 narrows the first hash, for tests of the collision check.
     """
+    with Scratch(df.sparkSession) as tmp:
+        return stored(_exact_duplicates(tmp, df, id_col, text_col, block_bytes, hash_bits))
+
+
+def _exact_duplicates(
+    tmp: Scratch,
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    block_bytes: int,
+    hash_bits: int,
+) -> DataFrame:
     body = df.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("body"))
     seed, bits = _seed(body, block_bytes, hash_bits)
 
@@ -87,7 +99,7 @@ def exact_duplicates(
         x, y = _hash(block, seed, bits)
         return F.struct(x.alias("x"), y.alias("y"))
 
-    docs = stored(
+    docs = tmp.store(
         body.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
@@ -99,7 +111,7 @@ def exact_duplicates(
     level = level.select("row", "n", "pos", "key.x", "key.y")
     left, depth, done = docs.agg(F.max(F.size("keys"))).first()[0] or 0, 0, None
     while left > 0:
-        named = stored(level.join(_names(level), ["x", "y"]).select("row", "n", "pos", "name"))
+        named = tmp.store(level.join(_names(level), ["x", "y"]).select("row", "n", "pos", "name"))
         ended = named.where("n = 1").select("row", F.lit(depth).alias("depth"), "name")
         done = ended if done is None else done.union(ended)
         even = F.col("pos") % 2 == 0
@@ -114,15 +126,15 @@ def exact_duplicates(
             .withColumn("n", F.floor((F.col("n") + 1) / 2).cast("int"))
         )
         if left > 1:
-            level = stored(level)
+            level = tmp.store(level)
         left, depth = (left + 1) // 2 if left > 1 else 0, depth + 1
     rows = docs.select("row", "doc_id", "sha")
     if done is None:
         rows = rows.select("*", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("name"))
     else:
-        rows = stored(rows.join(done, "row"))
+        rows = tmp.store(rows.join(done, "row"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
-    groups = stored(rows.groupBy("depth", "name").agg(F.min(order).alias("best"), F.count("*").alias("group_size")))
+    groups = tmp.store(rows.groupBy("depth", "name").agg(F.min(order).alias("best"), F.count("*").alias("group_size")))
     return rows.join(groups, ["depth", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

@@ -34,10 +34,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import hint_if_small, prepare, stored
+from gleanery.session import Scratch, hint_if_small, prepare, stored
 
 from .components import components
-from .words import LOWER, gram_hashes, mix, text_slices, word_bounds, word_hashes
+from .words import LOWER, gram_hashes, mix, small, text_slices, word_bounds, word_hashes
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def _sketch(df: DataFrame, rule: NearRule, id_col: str, text_col: str) -> DataFr
     """doc_id, its row, and n_shingles, set key, bytes of minhashes and buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             n, key1, key2, sig, buckets = [], [], [], [], []
             for shingles in _sets(rule, batch.column("text")):
                 n.append(len(shingles))
@@ -177,7 +177,7 @@ def _bodies(df: DataFrame, rule: NearRule, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in small(batches):
             column = batch.column(0)
             keys = [_key(s) for s in _sets(rule, column)]
             body = [pack.compress(t.as_buffer()) if t.is_valid else b"" for t in column]
@@ -198,9 +198,7 @@ def _test(pairs: DataFrame, sigs: DataFrame, rule: NearRule) -> DataFrame:
     steps = least_matches(rule)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small(batches):
             x, y = (
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, rule.hashes)
                 for c in ("sig_a", "sig_b")
@@ -229,22 +227,20 @@ def _confirm(pairs: DataFrame, bodies: DataFrame, rule: NearRule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):  # so that only so many sets are held
-                part = batch.slice(at, 256)
-                texts = {}
-                for c, body in (("a", "body_a"), ("b", "body_b")):
-                    for k, v in zip(part.column(c).to_pylist(), part.column(body).to_pylist(), strict=True):
-                        texts.setdefault(k, v)
-                raw = pa.array([unpack.decompress(v) if v else b"" for v in texts.values()], pa.binary())
-                sets = dict(zip(texts, _sets(rule, raw.cast(pa.string())), strict=True))
-                keep = []
-                for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True):
-                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    either = len(sets[a]) + len(sets[b]) - both
-                    keep.append(rule.denominator * both >= rule.numerator * either)
-                mask = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
+        for part in small(batches, 256):  # so that only so many sets are held
+            texts = {}
+            for c, body in (("a", "body_a"), ("b", "body_b")):
+                for k, v in zip(part.column(c).to_pylist(), part.column(body).to_pylist(), strict=True):
+                    texts.setdefault(k, v)
+            raw = pa.array([unpack.decompress(v) if v else b"" for v in texts.values()], pa.binary())
+            sets = dict(zip(texts, _sets(rule, raw.cast(pa.string())), strict=True))
+            keep = []
+            for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True):
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                either = len(sets[a]) + len(sets[b]) - both
+                keep.append(rule.denominator * both >= rule.numerator * either)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
 
     joined = pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a").join(
         bodies.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b"
@@ -281,38 +277,49 @@ def near_duplicates(
       by place in the table.
     - Other columns of ``df`` are ignored, whatever their names.
     """
-    prepare(df.sparkSession)
-    sketch = stored(_sketch(df, rule, id_col, text_col))
+    spark = prepare(df.sparkSession)
+    with Scratch(spark) as tmp:
+        return stored(_near_duplicates(tmp, df, rule, id_col, text_col))
+
+
+def _near_duplicates(
+    tmp: Scratch,
+    df: DataFrame,
+    rule: NearRule,
+    id_col: str,
+    text_col: str,
+) -> DataFrame:
+    sketch = tmp.store(_sketch(df, rule, id_col, text_col))
     full = sketch.where("n_shingles > 0")
 
     # Equal sets: the first row stands for all.
-    classes = stored(full.groupBy("key1", "key2").agg(F.min("row").alias("node"), F.count("*").alias("rows")))
+    classes = tmp.store(full.groupBy("key1", "key2").agg(F.min("row").alias("node"), F.count("*").alias("rows")))
     nodes = full.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    nodes = stored(nodes.select("node", "key1", "key2", "sig", "buckets"))
+    nodes = tmp.store(nodes.select("node", "key1", "key2", "sig", "buckets"))
     sigs = nodes.select("node", "sig")
 
     # Buckets of at least two nodes, and their stars.
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    members = stored(members.join(ends.where("lo < hi"), "bucket"))
+    members = tmp.store(members.join(ends.where("lo < hi"), "bucket"))
     stars = (
         members.select(F.col("lo").alias("a"), F.col("node").alias("b"))
         .union(members.select(F.col("node").alias("a"), F.col("hi").alias("b")))
         .where("a <> b")
         .distinct()
     )
-    likely = stored(_test(stars, sigs, rule))
+    likely = tmp.store(_test(stars, sigs, rule))
 
     involved = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    texts = _texts_of(df, rule, text_col, nodes, involved)
+    texts = _texts_of(tmp, df, rule, text_col, nodes, involved)
     first = likely.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a"))
-    links = stored(_confirm(first.select("a", "b"), texts, rule))
-    labels = components(links)
+    links = tmp.store(_confirm(first.select("a", "b"), texts, rule))
+    labels = components(links, tmp)
 
     # Likely pairs that could still join two components.
     later = _apart(likely.select("a", "b"), labels).join(first, ["a", "b"], "left_anti").select("a", "b")
-    links = stored(links.union(_confirm(later, texts, rule)))
-    labels = components(links)
+    links = tmp.store(links.union(_confirm(later, texts, rule)))
+    labels = components(links, tmp)
 
     # Buckets whose nodes are still in several components.
     own = labels.select("node", "component")
@@ -322,7 +329,7 @@ def near_duplicates(
     main = sizes.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("components")
     )
-    mixed = stored(placed.join(main.where("components > 1").select("bucket", "main"), "bucket"))
+    mixed = tmp.store(placed.join(main.where("components > 1").select("bucket", "main"), "bucket"))
     few = mixed.where("component <> main").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
     rest = (
         few.join(mixed, "bucket")
@@ -330,10 +337,10 @@ def near_duplicates(
         .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
         .distinct()
     )
-    unsettled = stored(_test(rest, sigs, rule))
+    unsettled = tmp.store(_test(rest, sigs, rule))
     involved = unsettled.select(F.col("a").alias("node")).union(unsettled.select(F.col("b").alias("node"))).distinct()
-    links = stored(links.union(_confirm(unsettled.select("a", "b"), _texts_of(df, rule, text_col, nodes, involved), rule)))
-    labels = components(links)
+    links = tmp.store(links.union(_confirm(unsettled.select("a", "b"), _texts_of(tmp, df, rule, text_col, nodes, involved), rule)))
+    labels = components(links, tmp)
 
     # Back to rows, by way of the set keys.
     group = classes.join(labels, "node", "left").select(
@@ -341,9 +348,9 @@ def near_duplicates(
     )
     rows = sketch.select("row", "doc_id", "n_shingles", "key1", "key2").join(group, ["key1", "key2"], "left")
     rows = rows.withColumn("component", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("row")))
-    rows = stored(rows.select("row", "doc_id", "n_shingles", "component"))
+    rows = tmp.store(rows.select("row", "doc_id", "n_shingles", "component"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    best = stored(rows.groupBy("component").agg(F.min(order).alias("best")))
+    best = tmp.store(rows.groupBy("component").agg(F.min(order).alias("best")))
     return rows.join(best, "component").select(
         "doc_id",
         "n_shingles",
@@ -353,8 +360,8 @@ def near_duplicates(
     )
 
 
-def _texts_of(df: DataFrame, rule: NearRule, text_col: str, nodes: DataFrame, involved: DataFrame) -> DataFrame:
+def _texts_of(tmp: Scratch, df: DataFrame, rule: NearRule, text_col: str, nodes: DataFrame, involved: DataFrame) -> DataFrame:
     """(node, body) of the nodes that have pairs to confirm; texts are found by their set keys."""
-    wanted = stored(nodes.select("node", "key1", "key2").join(involved, "node", "left_semi"))
+    wanted = tmp.store(nodes.select("node", "key1", "key2").join(involved, "node", "left_semi"))
     found = _bodies(df, rule, text_col).join(hint_if_small(wanted), ["key1", "key2"])
-    return stored(found.select("node", "body").dropDuplicates(["node"]))
+    return tmp.store(found.select("node", "body").dropDuplicates(["node"]))

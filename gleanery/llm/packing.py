@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.session import prepare, stored
+from gleanery.session import Scratch, prepare, stored
+
+from .words import small
 
 # Pieces of one length are ranked in so many parts, each counted by itself.
 RANK_PARTS = 512
@@ -34,10 +36,17 @@ _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class WordEncoder:
-    """Token ids of texts, by a tokenizer whose tokens never reach across ASCII white space."""
+    """Token ids of texts, once it is unpickled, by a tokenizer whose tokens never reach across ASCII white space."""
 
     def __init__(self, definition: str) -> None:
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.definition = definition
+
+    def __getstate__(self):
+        return {"definition": self.definition}
+
+    def __setstate__(self, state):
+        self.__init__(state["definition"])
+        self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -155,14 +164,29 @@ def pack_documents(
     place in the table.
     """
     spark = prepare(df.sparkSession)
+    with Scratch(spark) as tmp:
+        return stored(_pack_documents(tmp, df, tokenizer_path, capacity, end_id, id_col, text_col, with_ids))
+
+
+def _pack_documents(
+    tmp: Scratch,
+    df: DataFrame,
+    tokenizer_path: str,
+    capacity: int,
+    end_id: int,
+    id_col: str,
+    text_col: str,
+    with_ids: bool,
+) -> DataFrame:
+    spark = df.sparkSession
     definition = "\n".join(r["value"] for r in spark.read.text(tokenizer_path, wholetext=True).collect())
-    shared = spark.sparkContext.broadcast(definition)
+    shared = spark.sparkContext.broadcast(WordEncoder(definition))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value)
+        encoder = shared.value  # with what this worker has met before
         names = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-        for batch in batches:
+        for batch in small(batches):
             at, piece, start, length, crc, kept = [], [], [], [], [], []
             texts = (t.as_py() or "" for t in batch.column("text"))
             for i, ids in enumerate(encoder.encode(texts)):
@@ -181,9 +205,9 @@ def pack_documents(
 
     schema = f"row long, doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids array<int>"
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = stored(rows.mapInArrow(run, schema)).withColumn("part", F.pmod(F.xxhash64("row", "piece"), F.lit(RANK_PARTS)))
+    pieces = tmp.store(rows.mapInArrow(run, schema)).withColumn("part", F.pmod(F.xxhash64("row", "piece"), F.lit(RANK_PARTS)))
 
-    counts = stored(pieces.groupBy("length", "part").agg(F.count("*").alias("n")))
+    counts = tmp.store(pieces.groupBy("length", "part").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = best_fit_plan(histogram, capacity)
     steps = spark.createDataFrame(

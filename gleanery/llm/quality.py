@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gleanery.session import prepare
 
-from .words import SPACE, text_slices, word_bounds, word_hashes
+from .words import SPACE, small, text_slices, word_bounds, word_hashes
 
 FOLDS = 5
 # Bounds of the training sample: documents, and lines of a document (longer ones are not taken).
@@ -190,7 +190,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _features(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         rows, blobs = [], []
         for row, offsets, data in text_slices(batch.column("text")):
             x, _, first = line_features(offsets, data)
@@ -247,7 +247,7 @@ def score_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = shared.value
-        for batch in batches:
+        for batch in small(batches):
             scores = np.full(batch.num_rows, 0.5)
             if crf is not None:
                 for row, offsets, data in text_slices(batch.column(at)):

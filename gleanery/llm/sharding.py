@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import stored
+from gleanery.session import Scratch, stored
 
 # A shard is permuted in so many slices of the range of its random keys.
 SLICES = 1024
@@ -95,10 +95,22 @@ def shard_rows(
     the number of shards changes. Null and repeated ids are rows like others; an
     empty table gives no rows. Other columns are ignored.
     """
+    with Scratch(df.sparkSession) as tmp:
+        return stored(_shard_rows(tmp, df, shards, seed, id_col, text_col))
+
+
+def _shard_rows(
+    tmp: Scratch,
+    df: DataFrame,
+    shards: int,
+    seed: int,
+    id_col: str,
+    text_col: str,
+) -> DataFrame:
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     place = F.monotonically_increasing_id()
-    placed = stored(
+    placed = tmp.store(
         df.select(
             F.col(id_col).alias("doc_id"),
             (F.octet_length(text) + 8).cast("long").alias("size"),
@@ -119,7 +131,7 @@ def shard_rows(
     # Permute inside the shard.
     key = F.xxhash64("place", F.lit(seed + 1), "shard")
     dealt = dealt.select("doc_id", "size", "text_crc32", "shard", "place", key.alias("key"))
-    dealt = stored(dealt.withColumn("slice", F.shiftrightunsigned("key", 64 - SLICES.bit_length() + 1)))
+    dealt = tmp.store(dealt.withColumn("slice", F.shiftrightunsigned("key", 64 - SLICES.bit_length() + 1)))
     before = dealt.groupBy("shard", "slice").agg(F.count("*").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     before = before.select("shard", "slice", F.coalesce(ahead, F.lit(0)).alias("ahead"))

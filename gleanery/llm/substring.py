@@ -34,9 +34,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import hint_if_small, prepare, stored
+from gleanery.session import Scratch, hint_if_small, prepare, stored
 
-from .words import BASE, INVERSE, gram_hashes, mix, powers_of, text_slices, word_bounds, word_hashes
+from .words import BASE, INVERSE, gram_hashes, mix, powers_of, small, text_slices, word_bounds, word_hashes
 
 ANCHOR_WORDS = 8
 # Distinct runs of one anchor that are taken into one automaton: at most 32 words each.
@@ -126,7 +126,7 @@ def _runs(words: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray
 def _anchors(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in small(batches):
             n, starts, anchors, contents, digests, bodies = [], [], [], [], [], []
             for _, offsets, data in text_slices(batch.column("text")):
                 begin, end, first = word_bounds(offsets, data)
@@ -169,9 +169,9 @@ def _order() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"), F.col("start"))
 
 
-def _with_bodies(docs: DataFrame, lists: DataFrame) -> DataFrame:
+def _with_bodies(tmp: Scratch, docs: DataFrame, lists: DataFrame) -> DataFrame:
     """``lists`` (row, items) with the bodies of their rows; other bodies stay where they are if the ids are few."""
-    lists = stored(lists)
+    lists = tmp.store(lists)
     bodies = docs.select("row", "body").join(hint_if_small(lists.select("row")), "row", "left_semi")
     return bodies.join(lists, "row")
 
@@ -179,7 +179,7 @@ def _with_bodies(docs: DataFrame, lists: DataFrame) -> DataFrame:
 def _cut_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """The words of the runs listed for each body."""
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in small(batches):
         row, anchor, content, start, n, text = [], [], [], [], [], []
         for r, body, items in zip(*(batch.column(c).to_pylist() for c in ("row", "body", "items")), strict=True):
             words = unpack.decompress(body).split() if body else []
@@ -206,7 +206,7 @@ def _cut_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 def _match_shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Repeated windows, as bits, of runs that come sorted by anchor and document order."""
     shard, automaton = None, SuffixAutomaton()
-    for batch in batches:
+    for batch in small(batches):
         anchors, contents = batch.column("anchor").to_pylist(), batch.column("content").to_pylist()
         masks = []
         for anchor, text in zip(anchors, batch.column("text").to_pylist(), strict=True):
@@ -225,7 +225,7 @@ def _match_shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
 
 
 def _split_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         at, bit, texts = [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             words = text.split(b" ")
@@ -242,7 +242,7 @@ def _split_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[p
 
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in small(batches):
         removed, digests, texts = [], [], []
         for body, items in zip(batch.column("body").to_pylist(), batch.column("items").to_pylist(), strict=True):
             raw = unpack.decompress(body)
@@ -291,10 +291,23 @@ def remove_repeats(
     last, then by place in the table. Windows must have from 9 to 60 words.
     Other columns are ignored.
     """
+    spark = prepare(df.sparkSession)
+    with Scratch(spark) as tmp:
+        return stored(_remove_repeats(tmp, df, window, id_col, text_col, with_text, shard_runs))
+
+
+def _remove_repeats(
+    tmp: Scratch,
+    df: DataFrame,
+    window: int,
+    id_col: str,
+    text_col: str,
+    with_text: bool,
+    shard_runs: int,
+) -> DataFrame:
     if not ANCHOR_WORDS < window <= 60:
         raise ValueError("window must have from 9 to 60 words")
-    prepare(df.sparkSession)
-    docs = stored(_anchors(df, id_col, text_col, window))
+    docs = tmp.store(_anchors(df, id_col, text_col, window))
 
     runs = docs.select(
         "row",
@@ -313,9 +326,9 @@ def remove_repeats(
         F.col("run.contents").alias("content"),
     )
     anchors = docs.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("times"))
-    found = stored(runs.join(anchors.where("times > 1").select("anchor"), "anchor"))
+    found = tmp.store(runs.join(anchors.where("times > 1").select("anchor"), "anchor"))
 
-    distinct = stored(
+    distinct = tmp.store(
         found.groupBy("anchor", "content").agg(F.min(_order()).alias("first"), F.max("n").alias("n"), F.count("*").alias("times"))
     )
     shards = distinct.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1")
@@ -323,11 +336,11 @@ def remove_repeats(
         F.col("first.row").alias("row"), F.struct("anchor", "content", F.col("first.start").alias("start"), "n").alias("item")
     )
     lists = wanted.groupBy("row").agg(F.collect_list("item").alias("items"))
-    cut = _with_bodies(docs, lists).mapInArrow(
+    cut = _with_bodies(tmp, docs, lists).mapInArrow(
         partial(_cut_runs, window=window), "row long, anchor long, content long, start int, n int, text binary"
     )
     keyed = cut.join(docs.select("row", "doc_id"), "row").select("anchor", "content", _order().alias("first"), "text")
-    keyed = stored(keyed.join(shards, "anchor"))
+    keyed = tmp.store(keyed.join(shards, "anchor"))
     mask_schema = "anchor long, content long, mask long"
     masks = (
         keyed.where(F.col("runs") <= shard_runs)
@@ -344,7 +357,7 @@ def remove_repeats(
     earliest = single.groupBy("text").agg(F.min("first").alias("least"))
     late = single.join(earliest, "text").where("first > least")
     late = late.groupBy("anchor", "content").agg(F.sum(F.expr("shiftleft(1L, bit)")).alias("mask"))
-    masks = stored(masks.union(late))
+    masks = tmp.store(masks.union(late))
 
     ends = distinct.where("times > 1").select("anchor", "content", "first")
     repeated = found.join(ends, ["anchor", "content"], "left").join(
@@ -354,7 +367,7 @@ def remove_repeats(
     mask = F.when(again, F.expr("shiftleft(1L, n) - 1")).otherwise(F.coalesce("mask", F.lit(0)))
     spans = repeated.select("row", "start", mask.alias("mask")).where("mask <> 0")
     lists = spans.groupBy("row").agg(F.collect_list(F.struct("start", "mask")).alias("items"))
-    cleaned = _with_bodies(docs, lists).mapInArrow(
+    cleaned = _with_bodies(tmp, docs, lists).mapInArrow(
         partial(_remove, window=window), "row long, n_removed long, kept binary, kept_text string"
     )
     out = docs.select("row", "doc_id", "n_words", "digest").join(cleaned, "row", "left")

@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 # Texts are taken in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _RANDOM = np.random.default_rng(20240817)
 _BYTE_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
@@ -44,6 +44,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows at most, so that what a function holds for a batch is bounded."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, offsets, bytes) of slices of a string column; null counts as empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
