@@ -42,9 +42,14 @@ from .words import LOWER, gram_hashes, mix, small, text_slices, word_bounds, wor
 
 @dataclass(frozen=True)
 class NearRule:
-    """``numerator / denominator`` is the least similarity; ``miss`` the chance that a step of the test drops a link."""
+    """``numerator / denominator`` is the least similarity; ``miss`` the chance that a step of the test drops a link.
+
+    Shingles are of ``words`` words or, if it is not 0, of ``chars`` characters
+    of the text with white space folded and trimmed.
+    """
 
     words: int = 5
+    chars: int = 0
     numerator: int = 75
     denominator: int = 100
     bands: int = 48
@@ -87,6 +92,9 @@ def least_matches(rule: NearRule) -> list[tuple[int, int]]:
 
 def _sets(rule: NearRule, column: pa.Array) -> Iterator[np.ndarray]:
     """For each text, its distinct shingles as sorted 64-bit hashes."""
+    if rule.chars:
+        yield from _char_sets(rule, column)
+        return
     for _, offsets, data in text_slices(column):
         data = LOWER[data]
         starts, ends, first = word_bounds(offsets, data)
@@ -102,6 +110,23 @@ def _sets(rule: NearRule, column: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, dtype=np.uint64)
 
 
+def _char_sets(rule: NearRule, column: pa.Array) -> Iterator[np.ndarray]:
+    for _, offsets, data in text_slices(column):
+        raw = LOWER[data].tobytes()
+        texts = [b" ".join(raw[a:b].split()).decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        units = mix(np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.uint64))
+        grams, at = gram_hashes(units, rule.chars), 0
+        for text in texts:
+            n = len(text)
+            if n >= rule.chars:
+                yield np.unique(grams[at : at + n - rule.chars + 1])
+            elif n:
+                yield mix(gram_hashes(units[at : at + n], n) + np.uint64(n))
+            else:
+                yield np.zeros(0, dtype=np.uint64)
+            at += n
+
+
 def _key(shingles: np.ndarray) -> tuple[int, int]:
     spread = mix(shingles ^ np.uint64(0xD6E8FEB86659FD93))
     n = len(shingles) * 0x9E3779B97F4A7C15

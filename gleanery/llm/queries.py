@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .exact import exact_duplicates
 from .licences import licences_sql, recognise_licences
+from .lines import near_duplicate_lines
 from .near import near_duplicates
 from .neighbours import nearest
 from .packing import pack_documents
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_lines(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, _table(spark, sf_dir, "labels"))
@@ -65,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_quality_crf,
         op3_nearest,
         op4_licences,
