@@ -39,7 +39,10 @@ def strict_json(text: Column) -> Column:
 
 def embedded_object(text: Column) -> Column:
     """From the first ``{`` to the last ``}``, across lines; empty if there is none."""
-    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    first = F.instr(text, "{")
+    last = F.char_length(text) - F.instr(F.reverse(text), "}") + 1
+    there = (first > 0) & (F.instr(text, "}") > 0) & (last > first)
+    return F.when(text.isNotNull(), F.when(there, F.substring(text, first, last - first + 1)).otherwise(""))
 
 
 def answer_document(answer: Column) -> Column:

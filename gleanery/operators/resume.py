@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.session import BROADCAST_BYTES, measured_bytes, stored
 
 
+def identity(id_col: str) -> Column:
+    """What tells a row from others over all runs: its id or, if that is empty or missing, its place."""
+    place = F.concat(F.lit("\x00"), "src_file", F.lit("\x00"), F.col("src_row").cast("string"))
+    own = F.col(id_col).cast("string")
+    return F.when(own.isNull() | (own == ""), place).otherwise(own)
+
+
 def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Rows of ``df`` whose key is not in ``done``; a null key counts as one key.
 

@@ -34,7 +34,7 @@ from gleanery.operators.project import (
     to_filter_output,
     to_label_output,
 )
-from gleanery.operators.resume import first_of_each, pending_rows
+from gleanery.operators.resume import first_of_each, identity, pending_rows
 from gleanery.plans.ledger import DONE, JUDGED, Run, read_ledger, record, runs
 from gleanery.plans.reports import run_stats
 from gleanery.schemas import ATTEMPTS, FILTER_OUTPUT, LABEL_OUTPUT
@@ -72,7 +72,7 @@ def _todo(
         done = _attempted(spark, cfg, stage, judged)
         if cfg.retry_failed:
             done = done.where(F.col("status") != "error")
-        rows = pending_rows(rows, done.select(F.col("id").alias(key)), key)
+        rows = pending_rows(rows, done.select(identity("id").alias(key)), key)
     return first_of_each(rows, key) if cfg.dedupe_ids else rows
 
 
@@ -89,7 +89,7 @@ def _judge(
     """Outcomes of the filter stage; everything cheap happens before the model."""
     path = ["file_path"] if "file_path" in raw.columns else []
     needed = list(dict.fromkeys([cfg.id_col, cfg.bytes_col, *path, "src_file", "src_row"]))
-    rows = raw.select(*needed, F.col(cfg.id_col).cast("string").alias("_key"))
+    rows = raw.select(*needed, identity(cfg.id_col).alias("_key"))
     rows = cap(_todo(spark, cfg, "filter", judged, rows, "_key"), cfg.batch_size, cfg.num_batches)
     now = F.lit(datetime.now(timezone.utc))
     probed = image_metadata(

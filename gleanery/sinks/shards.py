@@ -46,7 +46,8 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """The rows of all shards with ``shard``, ``src_file`` and ``src_row``.
 
     Reads every layout side by side, also plain ``shard-NNNNN.parquet`` files;
-    files that are no shards are left out.
+    other files are left out. The tail of such a file's name need not be a
+    number; then ``shard`` is NULL.
     """
     with_number = T.StructType(list(schema.fields)).add("shard", T.LongType())
     reader = spark.read.schema(with_number).option("recursiveFileLookup", "true")
@@ -64,7 +65,7 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         file.alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
     )
-    return numbered.where(F.col("shard").isNotNull())
+    return numbered.where(F.col("shard").isNotNull() | F.col("src_file").rlike(r"/shard-[^/]*\.parquet$"))
 
 
 def write_shards(

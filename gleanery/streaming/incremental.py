@@ -31,8 +31,12 @@ def run_incremental(
     A micro-batch is one run, named by query and batch.  If Spark repeats it,
     the ledger has it either finished, or judged with only the derived tables
     to write, or not at all.  With ``label_model`` the rows kept are labelled
-    after the stream has caught up.
+    after the stream has caught up.  ``num_batches`` has to be unset: the stream
+    takes a file for good, so rows behind a cap would never be judged; bound
+    micro-batches with ``max_files``.
     """
+    if cfg.num_batches:
+        raise ValueError("num_batches caps single runs; bound incremental intake with max_files")
     prepare(spark)
     if schema is None:
         known = scan_raw(spark, cfg.raw_dir, cfg.id_col, cfg.bytes_col).drop("src_file", "src_row")

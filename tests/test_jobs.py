@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery import CurationConfig, run_filter, run_incremental, run_label, run_stages
+from gleanery.functions.json_labels import embedded_object
 from gleanery.plans import jobs
 from gleanery.plans.jobs import attempts
 from gleanery.plans.ledger import read_ledger
@@ -130,9 +131,27 @@ def test_empty_and_missing_ids(spark, cfg):
     assert stats(run) == (3, 2, 0, 1)
     rows = spark.read.parquet(cfg.output_dir("filter")).collect()
     assert len({r["id"] for r in rows}) == 2 and all(len(r["id"]) == 36 and r["file_name"] == "" for r in rows)
-    # The test is on the id as found, so other empty or missing ids are done too.
+    # Rows without an id are told apart by their place, so those of another file are still to do.
     raw(cfg.raw_dir, "b", [("", png()), (None, png()), ("x", png())])
-    assert run_filter(spark, cfg, model_of("yes")).total == 1
+    assert run_filter(spark, cfg, model_of("yes")).total == 3
+    assert run_filter(spark, cfg, model_of("yes")).total == 0
+
+
+def test_capped_runs_reach_every_row_without_id(spark, cfg):
+    raw(cfg.raw_dir, "a", [("", png())] * 6)
+    capped = replace(cfg, num_batches=1, batch_size=2)
+    assert [run_filter(spark, capped, model_of("yes")).total for _ in range(4)] == [2, 2, 2, 0]
+    assert spark.read.parquet(cfg.output_dir("filter")).count() == 6
+
+
+def test_incremental_refuses_a_cap(spark, cfg):
+    with pytest.raises(ValueError, match="max_files"):
+        run_incremental(spark, replace(cfg, num_batches=1), model_of("yes"))
+
+
+def test_brace_search_is_linear(spark):
+    df = spark.range(1).select(F.repeat(F.lit("{"), 1_000_000).alias("s"))
+    assert df.select(embedded_object(F.col("s")).alias("e")).first()["e"] == ""
 
 
 def test_failed_rows_are_done_unless_asked_again(spark, cfg):
