@@ -12,6 +12,7 @@ texts pass through the driver.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -30,7 +31,7 @@ from .words import small
 # Pieces of one length are ranked in so many parts, each counted by itself.
 RANK_PARTS = 512
 # Words that a worker remembers in each of two generations.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -45,6 +46,8 @@ class WordEncoder:
         return {"definition": self.definition}
 
     def __setstate__(self, state):
+        # One thread per task, as Spark plans its cores; the library would start one per core of the machine.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.__init__(state["definition"])
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.encode_special_tokens = True
@@ -64,12 +67,19 @@ class WordEncoder:
             yield np.frombuffer(b"".join(map(self.young.__getitem__, words)), dtype="<u4")
 
     def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.old]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.young[w] = np.array(e.ids, dtype="<u4").tobytes()
+        """Remember ``words``; those not met before are encoded as one text and told apart by where their tokens start."""
         for w in words:
             if w in self.old:
                 self.young[w] = self.old[w]
+        new = [w for w in words if w not in self.old]
+        if not new:
+            return
+        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        begin = np.cumsum([0, *[len(w) + 1 for w in new]])
+        cuts = np.searchsorted([a for a, _ in found.offsets], begin)
+        for w, a, b in zip(new, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            self.young[w] = ids[a:b].tobytes()
 
 
 class Tree:
