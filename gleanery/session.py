@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 # Key tables up to this measured size are broadcast; larger ones are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Rows go to Python in batches of about so many bytes, unless the session says otherwise: a task holds a few of them at a time.
+ARROW_BATCH = "8m"
+
 _prepared: set[str] = set()
 _local_scratch: list[str] = []
 
@@ -33,6 +36,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         )
         spark.sparkContext.addPyFile(archive)
         _prepared.add(app)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     # Repeated keys in a JSON object: the last one wins, instead of an error.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
