@@ -39,6 +39,7 @@ class CurationConfig:
     retry_failed: bool = False
     keep_outcomes: bool = False
     one_file_per_shard: bool = True
+    shard_ranges: bool = False
     filter_prompts: Prompts = field(
         default=Prompts("You judge the quality of images.", "Keep this image? Answer YES or NO.")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -17,7 +18,9 @@ from pyspark.sql import types as T
 
 from gleanery.session import prepare
 
-Model = Callable[[list[Any]], list[str]]
+log = logging.getLogger(__name__)
+
+Model = Callable[[list[Any]], list[str | Exception]]
 ModelFactory = Callable[[], Model]
 
 _RESULT = T.StructType(
@@ -46,35 +49,53 @@ class RetryPolicy:
         return min(self.base * 2 ** (attempt - 1), self.limit)
 
 
-def _call(model: Model, requests: list[Any]) -> list[str]:
+def _call(model: Model, requests: list[Any]) -> list[str | Exception]:
     answers = model(requests)
     if len(answers) != len(requests):
         raise ValueError(f"model gave {len(answers)} answers to {len(requests)} requests")
-    return [answer.strip() for answer in answers]
+    return [answer if isinstance(answer, Exception) else answer.strip() for answer in answers]
 
 
 def ask_one(model: Model, request: Any, retry: RetryPolicy) -> dict[str, Any]:
     """One request; only ``RuntimeError`` is tried again."""
-    for attempt in range(1, retry.max_attempts + 1):
-        try:
-            return {"answer": _call(model, [request])[0], "error": None, "attempts": attempt}
-        except RuntimeError:
-            if attempt < retry.max_attempts:
-                retry.sleep(retry.delay(attempt))
-        except Exception as exc:
-            return {"answer": None, "error": str(exc), "attempts": attempt}
-    message = f"generation failed after {retry.max_attempts} attempts"
-    return {"answer": None, "error": message, "attempts": retry.max_attempts}
+    return ask_many(model, [request], retry)[0]
 
 
 def ask_many(model: Model, requests: list[Any], retry: RetryPolicy) -> list[dict[str, Any]]:
-    """Several requests in one call; if it fails, one by one, so that a bad row fails alone."""
-    if len(requests) > 1:
+    """Several requests in one call, an attempt of each of them; at most ``max_attempts`` calls see a request.
+
+    A model may return an exception in place of an answer; then only that
+    request has failed. If a call of several fails as a whole, each may be to
+    blame, and all are asked again one by one. With a single attempt they are
+    asked one by one from the start, so that a bad row fails alone.
+    """
+    results: list[dict[str, Any]] = [{} for _ in requests]
+    order = range(len(requests))
+    calls = [(list(order), 1)] if retry.max_attempts > 1 else [([i], 1) for i in reversed(order)]
+    while calls:
+        rows, attempt = calls.pop()
+        unclear = False
         try:
-            return [{"answer": a, "error": None, "attempts": 1} for a in _call(model, requests)]
-        except Exception:
-            pass
-    return [ask_one(model, request, retry) for request in requests]
+            answers = _call(model, [requests[i] for i in rows])
+        except Exception as exc:
+            log.warning("a call of %d requests failed at attempt %d: %s", len(rows), attempt, exc)
+            answers, unclear = [exc] * len(rows), len(rows) > 1
+        again = []
+        for i, answer in zip(rows, answers, strict=True):
+            result = {"answer": None, "error": None, "attempts": attempt}
+            if not isinstance(answer, Exception):
+                result["answer"] = answer
+            elif not (unclear or isinstance(answer, RuntimeError)):
+                result["error"] = str(answer)
+            elif attempt < retry.max_attempts:
+                again.append(i)
+            else:
+                result["error"] = f"generation failed after {attempt} attempts"
+            results[i] = result
+        if again and any(isinstance(answer, RuntimeError) for answer in answers):
+            retry.sleep(retry.delay(attempt))
+        calls += [([i], attempt + 1) for i in reversed(again)]
+    return results
 
 
 def infer(

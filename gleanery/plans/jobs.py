@@ -178,6 +178,7 @@ def _finish(spark: SparkSession, cfg: CurationConfig, run: Run) -> None:
             cfg.compression,
             start=run.first_shard,
             one_file=cfg.one_file_per_shard,
+            ranges=cfg.shard_ranges,
         )
     if run.errors:
         rejected = outcomes.where(failed).select(

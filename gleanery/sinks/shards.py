@@ -15,30 +15,21 @@ from gleanery.session import hint_if_small, stored
 from gleanery.sources.files import file_manifest
 from gleanery.sources.scan import file_path, with_source
 
-# Above this many shards in one write, a directory holds a range of shards.
-MAX_SHARD_DIRS = 10_000
-
 # A directory per shard, a directory per range of shards, or a plain file.
 _NUMBERED = r"(?:^|/)(?:shard=(\d+)/|shards=\d+-(\d+)/|shard-(\d+)\.parquet$)"
 
 
-def _numbering(spark: SparkSession, path: str) -> tuple[int | None, bool | None]:
-    """Highest shard number below ``path``, and whether directories hold ranges."""
+def next_shard(spark: SparkSession, path: str, start: int = 1) -> int:
+    """One more than the highest existing shard number; other names are ignored."""
     try:
         files = file_manifest(spark, path, "*.parquet", recursive=True)
         rel = F.col("rel_path")
         number = F.coalesce(
             *[F.nullif(F.regexp_extract(rel, _NUMBERED, i), F.lit("")).cast("bigint") for i in (1, 2, 3)]
         )
-        found = files.agg(F.max(number).alias("last"), F.max(rel.contains("shards=")).alias("ranges")).first()
+        last = files.agg(F.max(number).alias("last")).first()["last"]
     except FileNotFoundError:
-        return None, None
-    return found["last"], found["ranges"] if found["last"] is not None else None
-
-
-def next_shard(spark: SparkSession, path: str, start: int = 1) -> int:
-    """One more than the highest existing shard number; other names are ignored."""
-    last, _ = _numbering(spark, path)
+        last = None
     return start if last is None else last + 1
 
 
@@ -75,14 +66,15 @@ def write_shards(
     rows_per_shard: int = 100,
     compression: str = "snappy",
     start: int | None = None,
-    max_shard_dirs: int = MAX_SHARD_DIRS,
     one_file: bool = True,
+    ranges: bool = False,
 ) -> int:
     """Write ``df`` in scan order as shards of at most ``rows_per_shard`` rows.
 
-    Each shard becomes one file in its own ``shard=NNNNN`` directory.  A write
-    of more than ``max_shard_dirs`` shards puts them into one directory, whole
-    shards per file, with ``shard`` as a column.  Numbers go on from the
+    Each shard becomes one file in its own ``shard=NNNNN`` directory.  With
+    ``ranges``, meant for very many shards, the shards of a write share one
+    directory, whole shards per file, with ``shard`` as a column; the layout
+    follows from this argument alone.  Numbers go on from the
     highest existing one; passing ``start`` replaces the shards that an
     interrupted write of the same rows left behind.
 
@@ -92,8 +84,7 @@ def write_shards(
     splits gets two files.  Returns the number of shards written.
     """
     spark = df.sparkSession
-    last, ranges = _numbering(spark, path)
-    first = start if start is not None else (last or 0) + 1
+    first = start if start is not None else next_shard(spark, path)
     placed, rows = attach_shard(df, rows_per_shard)
     if not rows:
         return 0
@@ -104,7 +95,7 @@ def write_shards(
         placed = placed.repartitionById(
             math.ceil(count / per_task), F.floor(F.col("shard_index") / per_task).cast("int")
         )
-    if ranges or (ranges is None and count > max_shard_dirs):
+    if ranges:
         whole = f"{first:05d}-{first + count - 1:05d}"
         keys, partition = {"shards": F.lit(whole), "shard": F.col("_shard")}, "shards"
     else:

@@ -53,8 +53,9 @@ def publish(
     file_filter: Callable[[Column], Column] | None = None,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Copy a table, or the chosen files of one, to ``dest`` and list what lies there.
+    """Add the rows of a table, or of the chosen files of one, to ``dest`` and list the files that came.
 
+    Nothing in ``dest`` is removed or replaced; rows published twice are there twice.
     With a folder as source, ``patterns`` and ``file_filter`` choose files by
     their path below it; nothing chosen gives an empty manifest and a warning.
     """
@@ -70,8 +71,13 @@ def publish(
             log.warning("no file chosen in %s, nothing to publish", source)
             return chosen
         rows = load_selected(spark, chosen, source)
-    writer = rows.write.mode("overwrite")
+    try:
+        before = file_manifest(spark, dest, "*.parquet", recursive=True).select("path")
+    except FileNotFoundError:
+        before = None
+    writer = rows.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(dest)
-    return file_manifest(spark, dest, "*.parquet", recursive=True)
+    after = file_manifest(spark, dest, "*.parquet", recursive=True)
+    return after if before is None else after.join(before, "path", "left_anti").orderBy("path")

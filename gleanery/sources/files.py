@@ -10,11 +10,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.sources.scan import file_path
-
-# Paths read by one load; a larger selection is loaded by reading the common folder.
-_PATHS_PER_LOAD = 10_000
-
 
 def file_manifest(
     spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False
@@ -76,14 +71,10 @@ def select_files(
 def load_selected(spark: SparkSession, selected: DataFrame, base_path: str) -> DataFrame:
     """The rows of the selected Parquet files below ``base_path``.
 
-    A long selection is not turned into a path list: the folder is read and
-    joined with the selection on the file path.
+    Files that were not chosen are neither listed nor opened, however many are.
+    Paths come to the driver, which lists the files of any scan.
     """
-    paths = [row["path"] for row in selected.select("path").limit(_PATHS_PER_LOAD + 1).collect()]
-    reader = spark.read.option("basePath", base_path).option("mergeSchema", True)
+    paths = [row["path"] for row in selected.select("path").collect()]
     if not paths:
         raise FileNotFoundError(f"no file selected in {base_path}")
-    if len(paths) <= _PATHS_PER_LOAD:
-        return reader.parquet(*paths)
-    rows = reader.parquet(base_path).withColumn("_path", file_path())
-    return rows.join(selected.select(F.col("path").alias("_path")), "_path", "left_semi").drop("_path")
+    return spark.read.option("basePath", base_path).option("mergeSchema", True).parquet(*paths)

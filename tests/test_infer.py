@@ -55,6 +55,25 @@ def test_a_bad_row_fails_alone():
     assert [(g["answer"], g["error"]) for g in got] == [("A", None), (None, "no"), ("C", None)]
 
 
+def test_calls_per_request_are_bounded():
+    calls, waits = [], []
+
+    def model(requests):
+        calls.append(list(requests))
+        return [RuntimeError("busy") if r == "bad" else r for r in requests]
+
+    got = ask_many(model, ["a", "bad", "c"], RetryPolicy(sleep=waits.append))
+    assert calls == [["a", "bad", "c"], ["bad"], ["bad"]] and waits == [4.0, 8.0]
+    assert [g["attempts"] for g in got] == [1, 3, 1] and got[1]["error"] == "generation failed after 3 attempts"
+
+    model, calls = failing(99, RuntimeError("busy"))
+    assert [g["attempts"] for g in ask_many(model, ["a", "b"], RetryPolicy(sleep=waits.append))] == [3, 3]
+    assert calls == [["a", "b"], ["a"], ["a"], ["b"], ["b"]]
+    model, calls = failing(1, RuntimeError("busy"))
+    got = ask_many(model, ["a", "b"], RetryPolicy(max_attempts=1, sleep=waits.append))
+    assert [g["answer"] for g in got] == [None, "ok"] and calls == [["a"], ["b"]]
+
+
 def test_wrong_number_of_answers_is_an_error():
     got = ask_many(lambda requests: ["x"] if len(requests) == 1 else [], ["a", "b"], RetryPolicy())
     assert [g["answer"] for g in got] == ["x", "x"]

@@ -60,10 +60,10 @@ def test_an_interrupted_write_is_replaced(spark, path):
 
 def test_many_shards_share_a_directory(spark, path):
     out = f"{path}/out"
-    assert write_shards(numbers(spark, 95), out, SCHEMA, 2, max_shard_dirs=10) == 48
-    assert write_shards(numbers(spark, 5), out, SCHEMA, 2, max_shard_dirs=10) == 3
+    assert write_shards(numbers(spark, 95), out, SCHEMA, 2, ranges=True) == 48
+    assert write_shards(numbers(spark, 5), out, SCHEMA, 2, ranges=True) == 3
     for _ in range(2):
-        write_shards(numbers(spark, 4), out, SCHEMA, 2, start=52, max_shard_dirs=10)
+        write_shards(numbers(spark, 4), out, SCHEMA, 2, start=52, ranges=True)
     assert sorted(os.listdir(out))[-3:] == ["shards=00001-00048", "shards=00049-00051", "shards=00052-00053"]
     rows = spark.read.parquet(out)
     assert rows.count() == 104 and rows.agg(F.max("shard")).first()[0] == 53
@@ -135,6 +135,9 @@ def test_publish(spark, path):
     files = publish(f"{path}/src", f"{path}/dst", spark, file_filter=lambda rel: ~rel.contains("shard=00002"), partition_by=["shard"])
     assert files.count() == 2
     assert sorted(r["n"] for r in spark.read.parquet(f"{path}/dst").collect()) == [*range(10), *range(20, 30)]
+    again = publish(f"{path}/src", f"{path}/dst", spark, patterns=["shard=00002/*"], partition_by=["shard"])
+    assert [r["rel_path"].split("/")[0] for r in again.collect()] == ["shard=2"]
+    assert sorted(r["n"] for r in spark.read.parquet(f"{path}/dst").collect()) == list(range(30))
     assert publish(f"{path}/src", f"{path}/none", spark, patterns=["*.csv"]).count() == 0
     assert not os.path.exists(f"{path}/none")
     with pytest.raises(FileNotFoundError):

@@ -80,10 +80,11 @@ def text_model(fail: bool = False):
             for messages in requests:
                 size = len(messages[-1]["content"][0]["text"])
                 if fail and size % 7 == 0:
-                    raise ValueError(f"cannot read {size} characters")
-                if fail and size % 11 == 0:
-                    raise RuntimeError("out of memory")
-                found.append("  YES \n" if size % 2 == 0 else "no")
+                    found.append(ValueError(f"cannot read {size} characters"))
+                elif fail and size % 11 == 0:
+                    found.append(RuntimeError("out of memory"))
+                else:
+                    found.append("  YES \n" if size % 2 == 0 else "no")
             return found
 
         return model

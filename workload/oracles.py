@@ -125,6 +125,8 @@ ORACLES["select_files"] = f"""
 SELECT substr(rel_path, length('data/en/') + 1) AS rel_path, length FROM ({X.FILE_NAMES}) AS f
 WHERE rel_path LIKE 'data/en/%' AND rel_path NOT LIKE '%-1%.parquet' AND rel_path LIKE '%.parquet'"""
 
+ORACLES["load_selected"] = f"SELECT doc_id, md5(text) AS text_md5, shard FROM ({_DOC_SHARDS}) AS s WHERE shard % 2 = 0"
+
 ORACLES["append_table"] = """
 SELECT doc_id, lang, CAST(NULL AS INTEGER) AS quality FROM documents
 UNION ALL

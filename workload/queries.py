@@ -32,7 +32,7 @@ from gleanery.plans.reports import image_inventory, label_report, progress, run_
 from gleanery.session import prepare, scratch_dir
 from gleanery.sinks.shards import merge_shards, write_shards
 from gleanery.sinks.tables import append_table, publish, read_conformed, write_table
-from gleanery.sources.files import file_manifest, select_files
+from gleanery.sources.files import file_manifest, load_selected, select_files
 from gleanery.sources.scan import extract_bytes, read_stage, read_table, scan_raw, with_source
 from gleanery.streaming.incremental import run_incremental
 from workload import fixtures as X
@@ -180,6 +180,14 @@ def select_by_pattern(spark, sf_dir):
     )
 
 
+@query("load_selected")
+def load_by_pattern(spark, sf_dir):
+    path = _sharded_documents(spark, sf_dir)
+    files = file_manifest(spark, path, "*.parquet", recursive=True)
+    rows = load_selected(spark, select_files(files, "", allow=["shard=*[02468]/*"]), path)
+    return rows.select("doc_id", F.md5("text").alias("text_md5"), F.col("shard").cast("bigint").alias("shard"))
+
+
 # ---- projections ----
 
 
