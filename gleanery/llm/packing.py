@@ -12,11 +12,13 @@ texts pass through the driver.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +32,39 @@ from .words import small
 
 # Pieces of one length are ranked in so many parts, each counted by itself.
 RANK_PARTS = 512
-# Words that a worker remembers in each of two generations.
+# Words, and parts of words, that a worker remembers in each of two generations.
 MEMO_WORDS = 200_000
+MEMO_PARTS = 250_000
 
-_SPACES = re.compile(r"[\x20\x09-\x0D]+")
+# Words of printable ASCII and Latin-1 letters, and how the tokenizer parts them: contractions, letters, digits, the rest.
+_PLAIN = re.compile(r"[!-~\u00C0-\u00FF]+")
+_LETTER = r"a-z\u00DF-\u00F6\u00F8-\u00FF"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which a byte-level vocabulary writes each character of Latin-1: bytes in print as themselves, others from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in own]
+    letter = {byte: chr(byte) for byte in own} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+    return {code: "".join(letter[byte] for byte in chr(code).encode()) for code in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
+# What these shortcuts take for granted of a tokenizer; with another one every new word takes the tokenizer's whole way.
+_CASELESS = ["NFC", "Replace", "Lowercase"]
+_PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _parts_known(definition: str) -> bool:
+    rules = json.loads(definition)
+    steps = [step["type"] for step in (rules["normalizer"] or {}).get("normalizers", [])]
+    cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return steps == _CASELESS and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": _PARTED}
 
 
 class WordEncoder:
-    """Token ids of texts, once it is unpickled, by a tokenizer whose tokens never reach across ASCII white space."""
+    """Token ids of UTF-8 texts, once it is unpickled, by a tokenizer whose tokens never reach across ASCII white space."""
 
     def __init__(self, definition: str) -> None:
         self.definition = definition
@@ -53,33 +80,57 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model if _parts_known(self.definition) else None
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.young_parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         for text in texts:
             if len(self.young) >= MEMO_WORDS:
                 self.old, self.young = self.young, {}
-            words = _SPACES.split(text)
-            missing = list({w for w in words if w not in self.young})
+            words = text.split()  # of bytes: at ASCII white space only
+            missing = set(words).difference(self.young)
             if missing:
                 self._learn(missing)
             yield np.frombuffer(b"".join(map(self.young.__getitem__, words)), dtype="<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember ``words``; those not met before are encoded as one text and told apart by where their tokens start."""
+    def _learn(self, words: set[bytes]) -> None:
+        """Remember ``words``; those not met before are put together from parts or go through the tokenizer."""
+        whole = []
         for w in words:
             if w in self.old:
                 self.young[w] = self.old[w]
-        new = [w for w in words if w not in self.old]
-        if not new:
-            return
-        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+                continue
+            word = w.decode()
+            if self.model is not None and _PLAIN.fullmatch(word):
+                self.young[w] = b"".join(map(self._part, _PARTS.findall(word.lower())))
+            else:
+                whole.append(word)
+        if whole:
+            self._learn_whole(whole)
+
+    def _part(self, part: str) -> bytes:
+        found = self.young_parts.get(part)
+        if found is None:
+            found = self.old_parts.get(part)
+            if found is None:
+                tokens = self.model.tokenize(part if part.isascii() else part.translate(_BYTE_LETTERS))
+                found = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if len(self.young_parts) >= MEMO_PARTS:
+                self.old_parts, self.young_parts = self.young_parts, {}
+            self.young_parts[part] = found
+        return found
+
+    def _learn_whole(self, words: list[str]) -> None:
+        """``words`` encoded as one text and told apart by where their tokens start."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(found.ids, dtype="<u4")
-        begin = np.cumsum([0, *[len(w) + 1 for w in new]])
+        begin = np.cumsum([0, *[len(w) + 1 for w in words]])
         cuts = np.searchsorted([a for a, _ in found.offsets], begin)
-        for w, a, b in zip(new, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            self.young[w] = ids[a:b].tobytes()
+        for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            self.young[w.encode()] = ids[a:b].tobytes()
 
 
 class Tree:
@@ -198,7 +249,7 @@ def _pack_documents(
         names = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         for batch in small(batches):
             at, piece, start, length, crc, kept = [], [], [], [], [], []
-            texts = (t.as_py() or "" for t in batch.column("text"))
+            texts = (t.as_py() or b"" for t in batch.column("text").cast(pa.binary()))
             for i, ids in enumerate(encoder.encode(texts)):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, first in enumerate(range(0, len(ids), capacity)):

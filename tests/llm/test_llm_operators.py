@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -21,7 +22,7 @@ from gleanery.llm.licences import recognise_licences
 from gleanery.llm.lines import near_duplicate_lines
 from gleanery.llm.near import NearRule, least_matches, near_duplicates
 from gleanery.llm.neighbours import nearest
-from gleanery.llm.packing import best_fit_plan, pack_documents
+from gleanery.llm.packing import WordEncoder, best_fit_plan, pack_documents
 from gleanery.llm.quality import Crf, fit_quality, forward_backward, score_quality
 from gleanery.llm.sharding import communication_matrix, shard_rows
 from gleanery.llm.substring import SuffixAutomaton, remove_repeats
@@ -357,3 +358,16 @@ def test_licences(spark, empty):
         6: (0, "", ""),
     }
     assert recognise_licences(empty).count() == 0
+
+
+def test_word_encoder_is_the_tokenizer():
+    """Odd characters, contractions and markers, word by word, against the tokenizer over whole texts."""
+    definition = open(public.path("word_bpe_49k.json")).read()
+    encoder = pickle.loads(pickle.dumps(WordEncoder(definition)))
+    assert encoder.model is not None
+    letters = "abzAZéÉßÿ×÷Àþ'stdmrevl0189,.!-_~|<>#́µªİΣσ漢  \t\n \x85\x1c\x00\x7f²½🙂"
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", " ", "It's <|endoftext|> WE'LL <|startoftext|>b", "x" * 5000, "don't,'s''re 'd"]
+    for text, ids in zip(texts, encoder.encode(t.encode() for t in texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
