@@ -27,8 +27,9 @@ from gleanery.session import prepare
 
 from .words import small
 
-# Pieces that a worker remembers in each of two generations.
+# Pieces, and pre-tokens of them, that a worker remembers in each of two generations.
 MEMO_PIECES = 300_000
+MEMO_TOKENS = 200_000
 
 _ODD_SPACE = re.compile(r" \s|\s ")
 _PLAIN_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -105,6 +106,23 @@ class Bpe:
         self.decimal = {rank: str(rank) for rank in self.tokens}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.young_tokens: dict[str, list[int]] = {}
+        self.old_tokens: dict[str, list[int]] = {}
+
+    def pre_token(self, match: str) -> list[int]:
+        """Ids of a pre-token: a whole entry or merged; with a memo, as words come with many sorts of punctuation around them."""
+        found = self.young_tokens.get(match)
+        if found is None:
+            found = self.old_tokens.get(match)
+            if found is None:
+                token = match.encode()
+                rank = self.whole.get(token)
+                found = [rank] if rank >= 0 else self.merge(token)
+            if len(match) <= 64:
+                if len(self.young_tokens) >= MEMO_TOKENS:
+                    self.old_tokens, self.young_tokens = self.young_tokens, {}
+                self.young_tokens[match] = found
+        return found
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token that is no entry itself, by merging adjacent parts."""
@@ -144,12 +162,7 @@ class Bpe:
     def encode_piece(self, piece: str) -> bytes:
         ids: list[int] = []
         for match in self.match(piece):
-            token = match.encode()
-            rank = self.whole.get(token)
-            if rank >= 0:
-                ids.append(rank)
-            else:
-                ids += self.merge(token)
+            ids += self.pre_token(match)
         return np.array(ids, dtype="<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
