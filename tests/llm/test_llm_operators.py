@@ -15,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from gleanery.llm import neighbours
 from gleanery.llm.bpe import Bpe, encode_documents, load_ranks
 from gleanery.llm.components import components
 from gleanery.llm.exact import exact_duplicates
@@ -303,6 +304,23 @@ def test_neighbours(spark):
     assert nearest(df.where("false"), df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(("spread", "probe_cost", "probed"), [(1e9, 100, False), (0.6, 0, True)])
+def test_neighbours_look_as_far_as_recall_needs(spark, monkeypatch, spread, probe_cost, probed):
+    """Few visits at the start, without and with near vectors: the rest is raised by measuring."""
+    monkeypatch.setattr(neighbours, "PROBE_COST", probe_cost)
+    taken, far_enough = [], neighbours._far_enough
+    monkeypatch.setattr(neighbours, "_far_enough", lambda *a: taken.append(far_enough(*a)) or taken[-1])
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 64))
+    vectors = {i: (centres[i % 60] + rng.normal(size=64) * spread).tolist() for i in range(4000)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").repartition(3)
+    got = {(r.query_id, r["rank"]): r.vec_id for r in nearest(df, df.where("vec_id % 20 = 0"), visits=64).collect()}
+    want = exact_neighbours(vectors, 20, 5)
+    per_query = {(q, i) for (q, _), (i, _) in want.items()} & {(q, i) for (q, _), i in got.items()}
+    assert len(got) == len(want) and len(per_query) >= 0.98 * len(want)
+    assert taken[0] > 64 // 16 if probed else taken[0] is None
+
+
 def test_forward_backward():
     rng = np.random.default_rng(2)
     first, score, move = np.array([0, 1, 4, 6]), rng.normal(size=6), rng.normal(size=(2, 2))
