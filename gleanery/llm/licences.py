@@ -1,15 +1,21 @@
 """Licence recognition by sentences: known sentences become identifiers, ordered rules match identifier sequences.
 
-A text is cut into sentences twice: at line breaks and sentence ends (for
-licence lines), and at sentence ends only (for wrapped licence texts). Sentences
-are normalised and looked up in a small table. What is found, in the order of
-the text, is matched against rules; an earlier rule takes its sentences, so that
-a long form is not reported again as its parts. Everything is one expression per
-row: no shuffle, whatever the table.
+A text is cut into sentences in four ways: at line breaks and sentence ends (for
+licence lines), at sentence ends only (for wrapped licence texts), and at
+sentence ends, colons, blank lines, copyright lines and list numbers, once
+without and once with list bullets (for whole licence files; as the marks of
+bullets also open the lines of comments, both are needed). In the last two, the
+known sentences are cut in the same way, and their pieces have to follow each
+other. Sentences are normalised and looked up in a small table. What is found,
+in the order of the text, is matched against rules; an earlier rule takes its
+sentences, so that a long form is not reported again as its parts. Everything is
+one expression per row: no shuffle, whatever the table.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,6 +100,14 @@ RULES: list[tuple[str, list[str]]] = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"([.!?;])[\x20\x09-\x0D]+"
 
+# For whole licence files, in lower case. Lines without letters and digits are blank, as in comments.
+PIECE_END = r"([.!?;:])[\x20\x09-\x0D]+"
+BLANK = r"\n[^a-z0-9\n]*(?=\n)"
+COPYRIGHT = r"\n[^a-z0-9\n]*(?:copyright|\(c\)|©)[\x20\x09,:]*(?:\(c\)|©|[0-9]{4}|[<\[{])[^\n]*"
+NUMBER = r"(?:\x1E[^a-z0-9\x1E\n]*|\n[^a-z0-9\n]*)(?:[a-z]|[0-9]{1,2})\)[\x20\x09-\x0D]+"
+BULLET = r"\n[\x20\x09]*[-*+\u2022\u00B7][\x20\x09]+"
+CUT = "\x1E"
+
 
 def normalised_sentence(sentence: str) -> str:
     """A-Z in lower case, British spelling of the noun folded, all but a-z and 0-9 as one space."""
@@ -110,6 +124,29 @@ def _sentences(text: Column, lines: bool) -> Column:
     return F.split(text, "\n")
 
 
+def _pieces(text: Column, bullets: bool) -> Column:
+    """Sentences of a whole licence file, cut at its layout, too."""
+    text = F.concat(F.lit("\n"), F.translate(F.regexp_replace(text, r"\r\n?|\x1E", "\n"), UPPER, LOWER))
+    text = F.regexp_replace(F.regexp_replace(text, BLANK, CUT), COPYRIGHT, CUT)
+    if bullets:
+        text = F.regexp_replace(text, BULLET, CUT)
+    text = F.regexp_replace(F.regexp_replace(text, PIECE_END, "$1" + CUT), NUMBER, CUT)
+    text = F.replace(F.regexp_replace(text, r"[^a-z0-9\x1E]+", F.lit(" ")), F.lit("licence"), F.lit("license"))
+    return F.split(text, CUT)
+
+
+def cut_sentences(
+    sentences: dict[str, str], rules: list[tuple[str, list[str]]]
+) -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
+    """The same sentences and rules by pieces; a piece of several sentences is one."""
+    pieces: dict[str, str] = {}  # normalised -> id
+    made = {}
+    for key, text in sentences.items():
+        cut = [p for p in map(normalised_sentence, re.split(r"(?<=[.!?;:])\s+", text)) if p]
+        made[key] = [pieces.setdefault(p, f"{key}/{i}") for i, p in enumerate(cut)]
+    return {key: piece for piece, key in pieces.items()}, [(name, [p for i in ids for p in made.get(i, [i])]) for name, ids in rules]
+
+
 def _found(sentences: Column, known: Column) -> Column:
     """,id,,id,..., of the known sentences in their order."""
     ids = F.transform(sentences, lambda s: F.element_at(known, F.trim(s)))
@@ -134,6 +171,10 @@ def _matched(found: Column, rules: list[tuple[str, list[str]]]) -> Column:
     return F.aggregate(table, start, step)["names"]
 
 
+def _table(sentences: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for key, text in sentences.items() for x in (normalised_sentence(text), key)])
+
+
 def recognise_licences(
     df: DataFrame,
     sentences: dict[str, str] | None = None,
@@ -145,22 +186,28 @@ def recognise_licences(
 
     sentence_ids are the identifiers of known sentences among the lines and
     sentences, in the order of the text, joined by spaces, and n_found their
-    number; licences are the distinct names of the rules that match these or
-    the sentences of the unwrapped text, sorted and joined by spaces. All are
+    number; licences are the distinct names of the rules that match these, the
+    sentences of the unwrapped text or those of the text cut at its layout,
+    sorted and joined by spaces. All are
     empty (0) for null and empty texts and where nothing is known. Rows with
     null or repeated ids are like others; other columns are ignored.
     Identifiers hold neither commas nor semicolons.
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
-    pairs = [F.lit(x) for key, text in sentences.items() for x in (normalised_sentence(text), key)]
-    known = F.create_map(*pairs)
+    known = _table(sentences)
+    pieces, piece_rules = cut_sentences(sentences, rules)
+    known_pieces = _table(pieces)
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = df.select(
         F.col(id_col).alias("doc_id"),
         _found(_sentences(text, lines=True), known).alias("by_line"),
         _found(_sentences(text, lines=False), known).alias("unwrapped"),
+        _found(_pieces(text, bullets=False), known_pieces).alias("by_layout"),
+        _found(_pieces(text, bullets=True), known_pieces).alias("by_bullet"),
     )
     names = F.array_union(_matched(F.col("by_line"), rules), _matched(F.col("unwrapped"), rules))
+    for by in ("by_layout", "by_bullet"):
+        names = F.array_union(names, _matched(F.col(by), piece_rules))
     ids = F.filter(F.split("by_line", ","), lambda i: i != "")
     return found.select(
         "doc_id",

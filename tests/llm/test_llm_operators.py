@@ -5,6 +5,7 @@ import hashlib
 import pickle
 import random
 import re
+import textwrap
 import zlib
 from itertools import pairwise
 
@@ -15,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.llm import neighbours
+from gleanery.llm import licences, neighbours
 from gleanery.llm.bpe import Bpe, encode_documents, load_ranks
 from gleanery.llm.components import components
 from gleanery.llm.exact import exact_duplicates
@@ -378,6 +379,39 @@ def test_licences(spark, empty):
     assert recognise_licences(empty).count() == 0
 
 
+def test_licence_files(spark):
+    """Whole standard files with copyright lines: wrapped, one line per paragraph, as comments, with bullets."""
+
+    def paragraphs(text, width=72, before="", first=""):
+        return "\n\n".join(textwrap.fill(p, width, initial_indent=first, subsequent_indent=before) for p in text)
+
+    sentence = licences.SENTENCES
+    grant, notice = sentence["mit-grant"].split(": ")
+    mit = ["MIT License", "Copyright (c) 2020 Jane Doe", grant + ":", notice, "THE SOFTWARE IS PROVIDED \"AS IS\""]
+    gpl = ["a program", "Copyright (C) 2020 Jane Doe", sentence["gpl-free"], "This program is distributed in the hope"]
+    gpl2 = [*gpl[:2], sentence["gpl2-free"]]
+    isc = ["ISC License", "Copyright 2020 Jane Doe", sentence["isc-grant"]]
+    terms, *items = (sentence[f"bsd-{x}"] for x in ("terms", "source", "binary", "name"))
+
+    def bsd(mark, n):
+        made = [textwrap.fill(t, 72, initial_indent=mark(i), subsequent_indent="   ") for i, t in enumerate(items[:n], 1)]
+        return "Copyright (c) 2020, Jane Doe\n\n" + textwrap.fill(terms, 72) + "\n" + "\n".join(made)
+
+    texts = {}
+    for name, text in (("MIT", mit), ("GPL-3.0-or-later", gpl), ("GPL-2.0-or-later", gpl2), ("ISC", isc)):
+        wrapped = paragraphs(text)
+        comment = "/*\n" + "\n".join(" * " + x if x else " *" for x in wrapped.split("\n")) + "\n */"
+        dense = "\n".join("# " + x for x in wrapped.split("\n") if x).replace("# MIT License\n", "").replace("# ISC License\n", "")
+        for form in (wrapped, paragraphs(text, 10**6), wrapped.replace("\n", "\r\n"), comment, dense.partition("# THE")[0]):
+            texts[form] = name
+    for mark in (lambda i: "* ", lambda i: "- ", lambda i: f"{i}. ", lambda i: f"({i}) ", lambda i: f"{i}) ", lambda i: f"{'abc'[i - 1]}) "):
+        texts[bsd(mark, 3)], texts[bsd(mark, 2)] = "BSD-3-Clause", "BSD-2-Clause"
+    texts |= {"Copyright (c) 2020 Jane Doe\n\n" + grant + ":": "", "a b\n\nc: d": "", sentence["mpl2"]: "MPL-2.0"}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in recognise_licences(rows).collect()}
+    assert {t: got[i] for i, t in enumerate(texts)} == texts
+
+
 def test_word_encoder_is_the_tokenizer():
     """Odd characters, contractions and markers, word by word, against the tokenizer over whole texts."""
     definition = open(public.path("word_bpe_49k.json")).read()
