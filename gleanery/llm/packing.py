@@ -77,10 +77,12 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.__init__(state["definition"])
         self.tokenizer = Tokenizer.from_str(self.definition)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model if _parts_known(self.definition) else None
+        # Words that hold an added token, like <|endoftext|>, take the tokenizer's whole way.
+        added = [t["content"] for t in json.loads(self.definition).get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.young_parts: dict[str, bytes] = {}
@@ -104,7 +106,7 @@ class WordEncoder:
                 self.young[w] = self.old[w]
                 continue
             word = w.decode()
-            if self.model is not None and _PLAIN.fullmatch(word):
+            if self.model is not None and _PLAIN.fullmatch(word) and not self.added.search(word):
                 self.young[w] = b"".join(map(self._part, _PARTS.findall(word.lower())))
             else:
                 whole.append(word)
@@ -216,7 +218,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids.
 
-    A document is its ids without special tokens, then ``end_id``; null and
+    A document is its ids with nothing added by the tokenizer, then ``end_id``;
+    special tokens that the text itself holds are such tokens. Null and
     empty texts are ``end_id`` alone. Only longer documents are cut, into pieces
     of ``capacity`` and a last one that may be shorter. Documents of equal or
     null id are packed like others. ids_crc32 is that of the ids as unsigned

@@ -423,3 +423,15 @@ def test_word_encoder_is_the_tokenizer():
     texts += ["", " ", "It's <|endoftext|> WE'LL <|startoftext|>b", "x" * 5000, "don't,'s''re 'd"]
     for text, ids in zip(texts, encoder.encode(t.encode() for t in texts), strict=True):
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_word_encoder_takes_added_tokens_as_the_untouched_tokenizer():
+    untouched = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    encoder = pickle.loads(pickle.dumps(WordEncoder(open(public.path("word_bpe_49k.json")).read())))
+    pieces = ["a", "É", "It's", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", ">", "<", " ", "\n", "e\u0301", "漢"]
+    rng = random.Random(6)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b <|startoftext|><|endoftext|>"]
+    texts += ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(2000)]
+    want = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321]
+    assert [ids.tolist() for ids in encoder.encode(t.encode() for t in texts)] == want
