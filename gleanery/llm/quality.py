@@ -216,6 +216,7 @@ def fit_quality(
     Only id and text are read of the documents. Null labels are left out. None
     if there are no documents of both labels.
     """
+    prepare(docs.sparkSession)  # the features are computed by this package's code on the workers
     chosen = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col(id_col)) & F.col(id_col).isNotNull())
     chosen = chosen.select(F.col(id_col).alias("doc_id"), F.col("quality").cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(train_docs)
