@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
+from .contamination import contamination
 from .exact import exact_duplicates
 from .licences import licences_sql, recognise_licences
 from .lines import near_duplicate_lines
@@ -67,6 +68,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_substring_dedup,
         op10_exact_dedup,
+        op11_decontamination,
     )
 }
 
@@ -141,9 +147,45 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PART
 FROM t
 """
 
+_OP11 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, w[s:s + least(len(w), 10) - 1] AS p
+    FROM b, range(1, len(b.w) - least(len(b.w), 10) + 2) t(s) WHERE len(b.w) > 0
+), lens AS (
+    SELECT DISTINCT len(p) AS n FROM win
+), pos AS (
+    SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM d
+), ahead AS (
+    SELECT doc_id, i, list(t) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS nxt FROM pos
+), occ AS (
+    SELECT a.doc_id, a.i, lens.n, win.item_id
+    FROM ahead a, lens JOIN win ON len(win.p) = lens.n AND win.p = a.nxt[1:lens.n]
+    WHERE len(a.nxt) >= lens.n
+), hit AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM occ, range(0, n) r(j) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS l FROM occ WHERE item_id IS NOT NULL GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n_hit, 0) AS n_hit,
+    CAST(coalesce(len(items.l), 0) AS BIGINT) AS n_items,
+    sha256(coalesce(array_to_string(items.l, ','), '')) AS items_sha256, coalesce(hit.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op4_licences": licences_sql(),
     "op6_near_dedup": _OP6,
     "op9_substring_dedup": _OP9,
     "op10_exact_dedup": _OP10,
+    "op11_decontamination": _OP11,
 }

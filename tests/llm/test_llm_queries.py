@@ -13,7 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     engine = duckdb.connect()
-    engine.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        engine.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = engine.sql(ORACLES[name]).fetchdf()
     got = QUERIES[name](spark, SMALL).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
