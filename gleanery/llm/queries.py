@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
+from .collocations import collocations
 from .contamination import contamination
 from .exact import exact_duplicates
 from .licences import licences_sql, recognise_licences
@@ -72,6 +73,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_exact_dedup,
         op11_decontamination,
+        op13_collocations,
     )
 }
 
@@ -182,10 +188,50 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n_hit, 0) AS
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
+_OP13 = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d
+), words AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM words, range(1, 4) t(k), range(1, len(w) - k + 2) s(i)
+), f AS (
+    SELECT lang, g, any_value(k) AS k, count(*) AS f FROM grams GROUP BY lang, g
+), c AS (
+    SELECT lang, g, k, f AS a, string_split(g, ' ') AS w FROM f WHERE k >= 2 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.g, c.k, c.a, j, fl.f AS l, fr.f AS r,
+        (CAST(c.a AS HUGEINT) * c.a * 1000000) // (CAST(fl.f AS HUGEINT) * fr.f) AS score
+    FROM c, range(1, c.k) t(j)
+    JOIN f fl ON fl.lang = c.lang AND fl.g = array_to_string(c.w[1:j], ' ')
+    JOIN f fr ON fr.lang = c.lang AND fr.g = array_to_string(c.w[j + 1:c.k], ' ')
+), best AS (
+    SELECT lang, g, k, a, arg_min(l, (score, j)) AS l, arg_min(r, (score, j)) AS r, min(score) AS score
+    FROM cuts GROUP BY lang, g, k, a
+), kept AS (
+    SELECT * FROM best b WHERE b.k = 3 OR NOT EXISTS (
+        SELECT 1 FROM c x WHERE x.lang = b.lang AND x.k = 3 AND 100 * x.a >= 50 * b.a
+            AND (array_to_string(x.w[1:2], ' ') = b.g OR array_to_string(x.w[2:3], ' ') = b.g))
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g ASC) AS rank, g AS phrase, a, l, r, score
+    FROM kept
+)
+SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+    CAST(score AS BIGINT) AS score
+FROM ranked r JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op4_licences": licences_sql(),
     "op6_near_dedup": _OP6,
     "op9_substring_dedup": _OP9,
     "op10_exact_dedup": _OP10,
     "op11_decontamination": _OP11,
+    "op13_collocations": _OP13,
 }

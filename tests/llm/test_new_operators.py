@@ -91,3 +91,84 @@ def test_contamination_other_windows(spark, window):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     got = sorted(map(tuple, contamination(docs, bench, window=window).collect()), key=repr)
     assert got == brute_contamination(DOCS, BENCH, window)
+
+
+PIECE_END = re.compile(r"[.,;:!?\x0A-\x0D]")
+PIECE_WORDS = re.compile(r"[^\x20\x09]+")
+
+
+def brute_collocations(rows, top, least):
+    from collections import Counter
+
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in PIECE_END.split((text or "").translate(LOWER)):
+            w = PIECE_WORDS.findall(piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                for i in range(len(w) - k + 1):
+                    f[lang, " ".join(w[i : i + k])] += 1
+    cands = {key: a for key, a in f.items() if a >= least and key[1].count(" ") >= 1}
+    out = []
+    for (lang, phrase), a in cands.items():
+        w = phrase.split(" ")
+        if len(w) == 2 and any(
+            lang == la and len(p.split(" ")) == 3 and phrase in (" ".join(p.split(" ")[:2]), " ".join(p.split(" ")[1:])) and 2 * b >= a
+            for (la, p), b in cands.items()
+        ):
+            continue
+        cuts = []
+        for k in range(1, len(w)):
+            left, right = f[lang, " ".join(w[:k])], f[lang, " ".join(w[k:])]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        out.append((lang, phrase, a, left, right, n[lang], score))
+    ranked = []
+    for lang in {r[0] for r in out}:
+        mine = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))
+        ranked += [(r[0], i + 1, *r[1:]) for i, r in enumerate(mine[:top])]
+    return sorted(ranked)
+
+
+def collocation_corpus():
+    import random
+
+    rng = random.Random(7)
+    vocab = ["of", "the", "New", "york", "city", "ünï", "a\x0bb", "x", "Ω", "big apple"]
+    rows = [(None, None), ("en", ""), (None, "new york. New York; NEW YORK city")]
+    for i in range(300):
+        text = " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 25)))
+        text = text.replace(" the ", rng.choice([" the ", ". the ", "\tthe ", " the\n"]))
+        rows.append((rng.choice(["en", "de", None]), text))
+    return rows + rows[:20]
+
+
+@pytest.mark.parametrize("top,least", [(2000, 10), (5, 3)])
+def test_collocations_against_brute_force(spark, top, least):
+    from gleanery.llm.collocations import collocations
+
+    rows = collocation_corpus()
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    docs = docs.withColumns({"phrase": docs.text, "f": docs.lang, "a": docs.lang, "weight": docs.text})
+    got = collocations(docs, top=top, least=least)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    got = sorted((r.lang, r.rank, r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got.collect())
+    want = brute_collocations(rows, top, least)
+    assert got == want and len(want) > 10
+
+
+def test_collocations_of_nothing(spark):
+    from gleanery.llm.collocations import collocations
+
+    empty = spark.createDataFrame([], "lang string, text string")
+    assert collocations(empty).count() == 0
+
+
+def test_collocation_scores_are_exact_past_64_bits(spark):
+    a, left, right = 3_000_000_019, 3_000_000_021, 3_000_000_037
+    row = spark.sql(
+        f"SELECT (cast({a} as decimal(38,0)) * cast({a} as decimal(38,0)) * 1000000)"
+        f" div (cast({left} as decimal(38,0)) * cast({right} as decimal(38,0))) AS s"
+    ).first()
+    assert row.s == 1_000_000 * a * a // (left * right)
