@@ -16,6 +16,7 @@ from .lines import near_duplicate_lines
 from .near import near_duplicates
 from .neighbours import nearest
 from .packing import pack_documents
+from .periodic import periodic_runs
 from .quality import fit_quality, score_quality
 from .sharding import shard_rows
 from .substring import remove_repeats
@@ -73,6 +74,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_exact_dedup,
         op11_decontamination,
+        op12_periodic_runs,
         op13_collocations,
     )
 }

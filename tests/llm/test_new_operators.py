@@ -172,3 +172,73 @@ def test_collocation_scores_are_exact_past_64_bits(spark):
         f" div (cast({left} as decimal(38,0)) * cast({right} as decimal(38,0))) AS s"
     ).first()
     assert row.s == 1_000_000 * a * a // (left * right)
+
+
+def brute_runs(x):
+    """Every maximal stretch per period from the definition, kept at its smallest period."""
+    n, out = len(x), set()
+    for q in range(1, n + 1):
+        i = 0
+        while i < n - q:
+            if x[i] != x[i + q]:
+                i += 1
+                continue
+            j = i
+            while j < n - q and x[j] == x[j + q]:
+                j += 1
+            s, length = i, j + q - i
+            seg = x[s : s + length]
+            smallest = next(d for d in range(1, length + 1) if all(seg[k] == seg[k + d] for k in range(length - d)))
+            if smallest == q and length >= max(6, 4 * q):
+                out.add((s, length, q))
+            i = j + 1
+    return sorted(out)
+
+
+def test_runs_against_definition():
+    import random
+
+    import numpy as np
+
+    from gleanery.llm.periodic import runs
+
+    rng = random.Random(3)
+    for trial in range(400):
+        unit = [rng.randrange(3) for _ in range(rng.randint(1, 4))]
+        x = [rng.randrange(3) for _ in range(rng.randint(0, 30))]
+        at = rng.randint(0, len(x))
+        x = x[:at] + unit * rng.randint(1, 8) + x[at:] + [rng.randrange(2) for _ in range(rng.randint(0, 9))]
+        assert runs(np.array(x, dtype=np.int64)) == brute_runs(x), x
+
+
+def test_planted_tail_follows_the_contract():
+    import zlib
+
+    from gleanery.llm.periodic import planted
+
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    words = [f"w{k}" for k in range(50)]
+    for doc_id in ids[:20]:
+        g = zlib.crc32(str(doc_id).encode()) // 10
+        a, p = g % 50, 1 + (50 - g % 50) // (3 + g % 8)
+        assert planted(words, doc_id) == [words[i] if i < a else words[a + (i - a) % p] for i in range(50)]
+    assert planted(words, 1) == words or zlib.crc32(b"1") % 10 == 0
+    assert planted([], ids[0]) == [] and planted(words, None) == words
+
+
+def test_periodic_runs_rows(spark):
+    from gleanery.llm.periodic import WORDS, describe, periodic_runs
+
+    texts = [None, "", "   ", "a a a a a a", "a b a b a b a b c", "x " * 5000, "one two three", "y\tz " * 3 + "y z y z"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "q q q q q q q"), (3, "a a a a a a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.withColumns({"n_runs": docs.text, "start": docs.text})
+    got = sorted(map(tuple, periodic_runs(docs).collect()), key=repr)
+    assert got == sorted((describe(i, t) for i, t in rows), key=repr)
+    by_text = {t: describe(i, t) for i, t in rows}
+    assert by_text["a a a a a a"][1:6] == (1, 0, 6, 1, 6000)
+    assert by_text["a b a b a b a b c"][1:6] == (1, 0, 8, 2, 4000)
+    assert by_text[""][1:6] == (0, None, None, None, None) and by_text[""][7] == sha("")
+    assert by_text["a a a a a a"][7] == sha("a")
+    assert all(WORDS.pattern for _ in "x")
+    assert periodic_runs(docs.where("false")).count() == 0
