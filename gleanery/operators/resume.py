@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import BROADCAST_BYTES, measured_bytes, stored
+from gleanery.session import BROADCAST_BYTES, stored
+
+# Runs of pending rows are cut at multiples of this many rows: a row is looked up among the runs of its block only.
+BLOCK_ROWS = 1024
+# Bytes that a run takes in a broadcast table, besides its file name.
+INTERVAL_BYTES = 64
 
 
 def identity(id_col: str) -> Column:
@@ -24,22 +32,91 @@ def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return df.join(seen, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
+def pending_intervals(keys: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+    """(src_file, block, lo, hi): the places of ``keys`` whose key is not in ``done``, as runs of rows.
+
+    A run is a stretch of consecutive ``src_row`` of one file that are all still
+    to do (gaps and islands); runs are cut where a block of ``BLOCK_ROWS`` rows
+    ends, so that the window that finds them never holds more than one block,
+    however large a file is. Only keys and places are read and moved.
+    """
+    todo = pending(keys.select(key, "src_file", "src_row"), done, key).select("src_file", "src_row")
+    todo = todo.withColumn("block", F.floor(F.col("src_row") / BLOCK_ROWS))
+    island = F.col("src_row") - F.row_number().over(Window.partitionBy("src_file", "block").orderBy("src_row"))
+    runs = todo.withColumn("island", island).groupBy("src_file", "block", "island")
+    return runs.agg(F.min("src_row").alias("lo"), F.max("src_row").alias("hi")).drop("island")
+
+
+def _groups(per_file: list, limit: int) -> Iterator[tuple[list[str | None], bool, int]]:
+    """(files, split, bytes): files packed into groups whose runs take at most ``limit`` bytes; a larger file alone, to be split."""
+    group: list[str | None] = []
+    size = 0
+    for row in sorted(per_file, key=lambda r: (r["src_file"] is None, r["src_file"] or "")):
+        if row["bytes"] > limit:
+            yield [row["src_file"]], True, row["bytes"]
+            continue
+        if group and size + row["bytes"] > limit:
+            yield group, False, size
+            group, size = [], 0
+        group.append(row["src_file"])
+        size += row["bytes"]
+    if group:
+        yield group, False, size
+
+
 def pending_rows(
     scan: DataFrame, done: DataFrame, key: str = "id", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``pending`` for rows with large payloads.
+    """``pending`` for rows with large payloads, which never leave their place.
 
-    The payload stays in place while either the keys done or the places still
-    to do are small enough to broadcast; only if both are large are the rows
-    shuffled by key.
+    The keys and places of ``scan`` (no payload) are compared with ``done``;
+    what is left becomes runs of rows per file (``pending_intervals``). Only
+    files with a run are opened again: a filter on ``src_file`` prunes the
+    others before they are read. Rows are then matched to the runs of their
+    file and block by a broadcast join, in groups of files whose runs measure at
+    most ``limit`` bytes; a single file with more runs is taken in row spans cut
+    at block borders (it is then read once per span). No step shuffles the
+    payload, at any size.
     """
     seen = stored(done.select(key).distinct())
-    if measured_bytes(seen) <= limit:
-        return pending(scan, F.broadcast(seen), key)
-    places = stored(pending(scan.select(key, "src_file", "src_row"), seen, key).select("src_file", "src_row"))
-    if measured_bytes(places) <= limit:
-        return scan.join(F.broadcast(places), ["src_file", "src_row"], "left_semi")
-    return pending(scan, seen, key)
+    intervals = stored(pending_intervals(scan, seen, key))
+    sizes = intervals.groupBy("src_file").agg(
+        F.sum(F.coalesce(F.octet_length("src_file"), F.lit(0)) + INTERVAL_BYTES).alias("bytes")
+    )
+    parts = []
+    for files, split, size in _groups(sizes.collect(), limit):
+        chosen = F.col("src_file").isin([f for f in files if f is not None])
+        if None in files:
+            chosen = chosen | F.col("src_file").isNull()
+        spans: list[tuple[int | None, int | None]] = [(None, None)]
+        if split:
+            pieces = -(-size // max(limit, 1)) * 2
+            cuts = intervals.where(chosen).approxQuantile("lo", [i / pieces for i in range(1, pieces)], 0.001)
+            bounds = sorted({int(c) // BLOCK_ROWS * BLOCK_ROWS for c in cuts} - {0})
+            spans = list(zip([None, *bounds], [*bounds, None], strict=True))
+        for low, high in spans:
+            rows, runs = chosen, chosen
+            if low is not None:
+                rows, runs = rows & (F.col("src_row") >= low), runs & (F.col("lo") >= low)
+            if high is not None:
+                rows, runs = rows & (F.col("src_row") < high), runs & (F.col("lo") < high)
+            parts.append(_matched(scan.where(rows), intervals.where(runs)))
+    if not parts:
+        return scan.where(F.lit(False))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _matched(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows that lie in one of ``runs``, looked up by file and block in a broadcast table."""
+    runs = runs.select(
+        F.col("src_file").alias("_file"), F.col("block").alias("_block"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi")
+    )
+    inside = (
+        F.col("src_file").eqNullSafe(F.col("_file"))
+        & (F.floor(F.col("src_row") / BLOCK_ROWS) == F.col("_block"))
+        & F.col("src_row").between(F.col("_lo"), F.col("_hi"))
+    )
+    return rows.join(F.broadcast(runs), inside, "left_semi")
 
 
 def first_of_each(df: DataFrame, key: str = "id") -> DataFrame:

@@ -56,12 +56,34 @@ def test_cap_moves_no_rows_and_skips_files(spark, images):
     assert scan.metrics().apply("numFiles").value() == 2
 
 
-def test_small_done_sets_move_no_payload(spark, images):
+def files_read(df, column="data"):
+    """Files opened by the scans of an executed plan that read ``column``."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if node.nodeName().startswith("Scan") and re.search(rf"\b{column}#", node.toString()):
+            found.append(node.metrics().apply("numFiles").value())
+        children = node.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_resume_opens_only_files_with_pending_rows_and_moves_no_payload(spark, images, limit):
     scan = scan_raw(spark, images)
-    done = scan.where("src_row < 10").select("id")
-    df = pending_rows(scan, done)
+    done = scan.where("src_file LIKE '%f0.parquet' OR src_file LIKE '%f1.parquet' OR src_row < 10").select("id")
+    df = pending_rows(scan, done, limit=limit)
     assert not payload_exchanges(df) and "BroadcastHashJoin" in plan_of(df)
-    assert df.count() == 160
+    assert df.count() == 80 and files_read(df) == 2
+    assert pending_rows(scan, scan.select("id")).count() == 0
 
 
 def test_shards_are_attached_in_place(spark, images):
@@ -80,7 +102,7 @@ def test_model_is_above_the_anti_join_and_payload_test(spark, images):
 
     asked = infer(probed, factory, F.when(payload_error().isNull(), F.col("id")))
     plan = plan_of(asked.where("answer = 'x'"))
-    assert plan.index("ArrowEvalPython") < plan.index("LeftAnti")
+    assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")
     assert plan.count("ask(") == 1 and plan.index("Filter") < plan.index("ask(")
 
 

@@ -81,15 +81,25 @@ def test_pending_keeps_repeats_and_knows_null(spark):
     assert sorted(r["src_row"] for r in pending(rows, done).collect()) == [0, 1, 2]
 
 
-@pytest.mark.parametrize("sizes", [[0], [10**9, 0], [10**9, 10**9]])
-def test_every_way_to_leave_out_rows_agrees(spark, places, sizes, monkeypatch):
-    answers = iter(sizes)
-    monkeypatch.setattr(R, "measured_bytes", lambda df: next(answers))
-    # One key holds a third of the rows.
+@pytest.mark.parametrize("limit", [1 << 30, 2000, 100, 0])
+def test_every_way_to_leave_out_rows_agrees(spark, places, limit):
+    # One key holds a third of the rows; small limits split files into groups and a file into spans.
     rows = places.withColumn("id", F.when(F.col("want") % 3 == 0, "hot").otherwise(F.col("want").cast("string")))
     done = rows.where("want <= 100 AND want % 3 = 1").select("id").unionAll(spark.sql("SELECT 'hot'"))
     want = {r["want"] for r in rows.collect() if r["id"] != "hot" and not (r["want"] <= 100 and r["want"] % 3 == 1)}
-    assert {r["want"] for r in pending_rows(rows, done).collect()} == want
+    got = [r["want"] for r in pending_rows(rows, done, limit=limit).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_pending_intervals_are_runs_within_blocks(spark, places):
+    done = places.where("want % 5 = 0").select(F.col("want").cast("string").alias("id"))
+    rows = places.withColumn("id", F.col("want").cast("string"))
+    runs = R.pending_intervals(rows, done).collect()
+    todo = {(r["src_file"], r["src_row"]) for r in rows.collect() if r["want"] % 5}
+    covered = {(r["src_file"], x) for r in runs for x in range(r["lo"], r["hi"] + 1)}
+    assert todo <= covered and all(r["lo"] // R.BLOCK_ROWS == r["hi"] // R.BLOCK_ROWS == r["block"] for r in runs)
+    places_of = {(r["src_file"], r["src_row"]) for r in places.collect()}
+    assert (covered & places_of) == todo
 
 
 def test_first_of_each(spark, places):

@@ -24,7 +24,7 @@ from gleanery.operators.project import (
     to_filter_output,
     to_label_output,
 )
-from gleanery.operators.resume import pending
+from gleanery.operators.resume import pending_rows
 from gleanery.operators.union import union_by_name
 from gleanery.plans.jobs import attempts, run_filter, run_stages
 from gleanery.plans.ledger import ledger_totals, read_ledger
@@ -373,7 +373,7 @@ def label_non_object(spark, sf_dir):
 
 
 def _pending(spark, sf_dir):
-    return pending(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), "doc_id")
+    return pending_rows(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("resume_anti_join")
