@@ -1,17 +1,17 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The postings of the training documents, (row, position, word), are kept for the
+The postings of the training documents, (row, position, term), are kept for the
 words that the test items use. Every window of a test item (``window``
-consecutive words) is looked up from its two rarest words: the postings of the
-rarest one, moved back by that word's offset in the window, give places where
-the window could start; those also met by the second rarest word (moved back by
-its offset) are checked against every other word of the window by its
-postings. What passes is an exact phrase match. A document word inside a match
-is *hit*.
-
-Nothing is shuffled by document: postings move by word for the frequencies and
-by (row, start) for the intersections; the small tables of windows and
-candidates are broadcast only after their size was measured.
+consecutive words) is looked up from its three rarest words: their postings,
+each moved back by the word's offset in the window, give places where the
+window could start; the places met by all three are checked against every
+other word of the window by its postings. What passes is an exact phrase
+match. A document word inside a match is *hit*.
+
+The texts are read once. Nothing is shuffled by document: postings move by term
+for the frequencies and by (row, start) for the intersections; the tables of
+windows, rare terms and candidates are broadcast only after their size was
+measured, else joined by shuffle.
 """
 
 from __future__ import annotations
@@ -26,11 +26,20 @@ from gleanery.session import Scratch, hint_if_small, stored
 ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+# The ASCII characters that ITEM_WORDS leaves out, built from its ranges (A-Z are lower-cased instead).
+SEPARATORS = "".join(chr(c) for c in (*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)))
+# Candidate starts must be met by this many of a window's rarest words before every word is checked.
+RAREST = 3
 
 
 def item_words(text: Column) -> Column:
-    """The words of a text as an array; null has none."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(ITEM_WORDS), F.lit(0))
+    """The words of a text as an array (matches of ``ITEM_WORDS``); null has none.
+
+    Separators become spaces and A-Z lower case in one character mapping, then
+    the text is split at spaces: the same words as the pattern, without a regex.
+    """
+    mapped = F.translate(F.coalesce(text, F.lit("")), SEPARATORS + UPPER, " " * len(SEPARATORS) + LOWER)
+    return F.array_remove(F.split(mapped, " "), "")
 
 
 def _windows(bench: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
@@ -85,13 +94,18 @@ def _contamination(
     terms = phrases.select("pid", F.size("phrase").alias("len"), F.posexplode("phrase").alias("off", "word"))
     terms = terms.join(vocab, "word").select("pid", "len", "off", "term")
 
-    # Two passes over the documents number their rows alike; postings keep only words of the test set, as term ids.
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), item_words(F.col(text_col)).alias("w")
-    )
-    counted = tmp.store(rows.select("row", "doc_id", F.size("w").alias("n_words")))
-    postings = rows.select("row", F.posexplode("w").alias("pos", "word"))
-    postings = tmp.store(postings.join(hint_if_small(vocab), "word").select("row", "pos", "term"))
+    # One pass over the documents: a posting per word of the test set (as its term id), and per row one
+    # posting without term whose position is the row's word count.
+    words = item_words(F.col(text_col))
+    each = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
+    tail = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.size(words).alias("pos")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_col)
+    entries = rows.select("row", "doc_id", F.explode(F.concat(each, tail)).alias("e"))
+    entries = entries.select("row", F.when(F.col("e.word").isNull(), F.col("doc_id")).alias("doc_id"), "e.word", "e.pos")
+    entries = entries.join(hint_if_small(vocab), "word", "left").where(F.col("term").isNotNull() | F.col("word").isNull())
+    stored_entries = tmp.store(entries.select("row", "pos", "term", "doc_id"))
+    counted = stored_entries.where(F.col("term").isNull()).select("row", "doc_id", F.col("pos").alias("n_words"))
+    postings = stored_entries.where(F.col("term").isNotNull()).select("row", "pos", "term")
 
     # Term frequencies; a window with a word that no document has cannot occur.
     freq = postings.groupBy("term").agg(F.count("*").alias("df"))
@@ -99,10 +113,10 @@ def _contamination(
     complete = known.groupBy("pid").agg(F.count("*").alias("k"), F.first("len").alias("len")).where("k = len")
     known = tmp.store(known.join(complete.select("pid"), "pid"))
     rarity = F.row_number().over(Window.partitionBy("pid").orderBy("df", "off"))
-    rare = known.withColumn("rank", rarity).where("rank <= 2").select("pid", "off", "term", "rank")
+    rare = known.withColumn("rank", rarity).where(F.col("rank") <= RAREST).select("pid", "off", "term", "rank")
     need = rare.groupBy("pid").agg(F.count("*").alias("need"))
 
-    # Starts where the two rarest words stand at their offsets.
+    # Starts where the rarest words all stand at their offsets.
     rare = tmp.store(rare.join(need, "pid"))
     hits = postings.join(hint_if_small(rare), "term").select("pid", "row", (F.col("pos") - F.col("off")).alias("start"), "need")
     candidates = hits.where("start >= 0").groupBy("pid", "row", "start").agg(F.count("*").alias("k"), F.first("need").alias("need"))
