@@ -32,21 +32,26 @@ def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return df.join(seen, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
-def pending_intervals(keys: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
-    """(src_file, block, lo, hi): the places of ``keys`` whose key is not in ``done``, as runs of rows.
+def as_runs(places: DataFrame) -> DataFrame:
+    """(src_file, block, lo, hi): places (src_file, src_row) as runs of consecutive rows (gaps and islands).
 
-    A run is a stretch of consecutive ``src_row`` of one file that are all still
-    to do (gaps and islands); runs are cut where a block of ``BLOCK_ROWS`` rows
-    ends, so that the window that finds them never holds more than one block,
-    however large a file is. Only keys and places are read and moved.
+    Runs are cut where a block of ``BLOCK_ROWS`` rows ends, so that the window
+    that finds them never holds more than one block, however large a file is.
     """
-    todo = pending(keys.select(key, "src_file", "src_row"), done, key).select("src_file", "src_row")
-    todo = todo.withColumn("block", F.floor(F.col("src_row") / BLOCK_ROWS))
+    todo = places.select("src_file", "src_row").withColumn("block", F.floor(F.col("src_row") / BLOCK_ROWS))
     island = F.col("src_row") - F.row_number().over(Window.partitionBy("src_file", "block").orderBy("src_row"))
     runs = todo.withColumn("island", island).groupBy("src_file", "block", "island")
     return runs.agg(F.min("src_row").alias("lo"), F.max("src_row").alias("hi")).drop("island")
 
 
+def pending_intervals(keys: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+    """(src_file, block, lo, hi): the places of ``keys`` whose key is not in ``done``, as runs (``as_runs``).
+
+    Only keys and places are read and moved.
+    """
+    return as_runs(pending(keys.select(key, "src_file", "src_row"), done, key))
+
+
 def _groups(per_file: list, limit: int) -> Iterator[tuple[list[str | None], bool, int]]:
     """(files, split, bytes): files packed into groups whose runs take at most ``limit`` bytes; a larger file alone, to be split."""
     group: list[str | None] = []
@@ -79,7 +84,11 @@ def pending_rows(
     payload, at any size.
     """
     seen = stored(done.select(key).distinct())
-    intervals = stored(pending_intervals(scan, seen, key))
+    return rows_in_runs(scan, stored(pending_intervals(scan, seen, key)), limit)
+
+
+def rows_in_runs(scan: DataFrame, intervals: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``scan`` inside the stored runs ``intervals`` (see ``pending_rows``), the payload in place."""
     sizes = intervals.groupBy("src_file").agg(
         F.sum(F.coalesce(F.octet_length("src_file"), F.lit(0)) + INTERVAL_BYTES).alias("bytes")
     )

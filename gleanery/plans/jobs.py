@@ -65,10 +65,16 @@ def attempts(spark: SparkSession, cfg: CurationConfig, stage: str) -> DataFrame:
 
 
 def _todo(
-    spark: SparkSession, cfg: CurationConfig, stage: str, judged: Sequence[str], rows: DataFrame, key: str
+    spark: SparkSession,
+    cfg: CurationConfig,
+    stage: str,
+    judged: Sequence[str],
+    rows: DataFrame,
+    key: str,
+    history: bool = True,
 ) -> DataFrame:
-    """Leave out what the judged runs attempted."""
-    if judged:
+    """Leave out what the judged runs attempted (unless the caller did so already: ``history=False``)."""
+    if judged and history:
         done = _attempted(spark, cfg, stage, judged)
         if cfg.retry_failed:
             done = done.where(F.col("status") != "error")
@@ -85,12 +91,13 @@ def _judge(
     text_cols: Sequence[str],
     sleep: Callable[[float], None],
     profile: ResourceProfile | None,
+    history: bool = True,
 ) -> DataFrame:
     """Outcomes of the filter stage; everything cheap happens before the model."""
     path = ["file_path"] if "file_path" in raw.columns else []
     needed = list(dict.fromkeys([cfg.id_col, cfg.bytes_col, *path, "src_file", "src_row"]))
     rows = raw.select(*needed, identity(cfg.id_col).alias("_key"))
-    rows = cap(_todo(spark, cfg, "filter", judged, rows, "_key"), cfg.batch_size, cfg.num_batches)
+    rows = cap(_todo(spark, cfg, "filter", judged, rows, "_key", history), cfg.batch_size, cfg.num_batches)
     now = F.lit(datetime.now(timezone.utc))
     probed = image_metadata(
         normalize(rows, cfg.id_col, cfg.bytes_col, now), mode=cfg.format_mode, decoder=cfg.decoder
@@ -254,11 +261,13 @@ def run_filter(
     text_cols: Sequence[str] = (),
     sleep: Callable[[float], None] = time.sleep,
     profile: ResourceProfile | None = None,
+    check_history: bool = True,
 ) -> Run:
     """Judge the raw rows that no earlier run attempted, and write all verdicts.
 
     ``raw`` replaces the scan of ``cfg.raw_dir``; ``text_cols`` names columns of
     the normalised record that are sent along with the image.
+    ``check_history=False`` is for callers that left out attempted rows already.
     """
     prepare(spark)
     rows = scan_raw(spark, cfg.raw_dir, cfg.id_col, cfg.bytes_col) if raw is None else raw
@@ -266,7 +275,7 @@ def run_filter(
         spark,
         cfg,
         "filter",
-        lambda judged: _judge(spark, cfg, judged, model_factory, rows, text_cols, sleep, profile),
+        lambda judged: _judge(spark, cfg, judged, model_factory, rows, text_cols, sleep, profile, check_history),
         run_id,
     )
 

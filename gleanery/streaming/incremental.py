@@ -1,19 +1,45 @@
-"""Intake of new files as an available-now stream."""
+"""Intake of new files as an available-now stream.
+
+Which rows are new is kept as keyed state of the stream: only keys and places
+pass through it, and a key's places come out the first time it is seen. A
+micro-batch therefore touches the state of its own keys only, and opens its
+own files for the payload of the rows that came out; the whole history of
+attempts is read once per call, in its first micro-batch, for rows that runs
+outside the stream attempted.
+"""
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gleanery.config import CurationConfig
 from gleanery.operators.infer import ModelFactory
+from gleanery.operators.resume import as_runs, identity, rows_in_runs
 from gleanery.plans.jobs import run_filter, run_label
-from gleanery.session import prepare
+from gleanery.session import Scratch, prepare
 from gleanery.sources.scan import check_columns, scan_raw, with_source
 
+# Keyed state lives on the executors' disks, not in their memory, unless the session chose a store.
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+DISK_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def first_sight(key: tuple, places: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The places of a key in the micro-batch where it is seen first (all of them); nothing later."""
+    seen = state.exists
+    found = [p[["src_file", "src_row"]] for p in places]
+    if not seen and found:
+        state.update((True,))
+        yield pd.concat(found)
+
 
 def run_incremental(
     spark: SparkSession,
@@ -25,6 +51,7 @@ def run_incremental(
     max_files: int | None = None,
     text_cols: Sequence[str] = (),
     sleep: Callable[[float], None] = time.sleep,
+    profile: ResourceProfile | None = None,
 ) -> int:
     """Judge the files that came since the last call; return the number of micro-batches.
 
@@ -33,11 +60,15 @@ def run_incremental(
     to write, or not at all.  With ``label_model`` the rows kept are labelled
     after the stream has caught up.  ``num_batches`` has to be unset: the stream
     takes a file for good, so rows behind a cap would never be judged; bound
-    micro-batches with ``max_files``.
+    micro-batches with ``max_files``. A key is taken once by the stream: rows
+    that failed are tried again by ``run_filter`` with ``retry_failed``, not by
+    later micro-batches. ``profile`` asks for resources for the model's tasks.
     """
     if cfg.num_batches:
         raise ValueError("num_batches caps single runs; bound incremental intake with max_files")
     prepare(spark)
+    if spark.conf.get(STORE_CONF, DEFAULT_STORE) == DEFAULT_STORE:
+        spark.conf.set(STORE_CONF, DISK_STORE)
     if schema is None:
         known = scan_raw(spark, cfg.raw_dir, cfg.id_col, cfg.bytes_col).drop("src_file", "src_row")
         schema = known.schema
@@ -46,31 +77,43 @@ def run_incremental(
         reader = reader.option("maxFilesPerTrigger", max_files)
     arrivals = reader.parquet(cfg.raw_dir)
     check_columns(arrivals, cfg.id_col, cfg.bytes_col)
+    keys = with_source(arrivals).select(identity(cfg.id_col).alias("_key"), "src_file", "src_row")
+    fresh = keys.groupBy("_key").applyInPandasWithState(
+        first_sight, "src_file string, src_row long", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
 
-    batches = []
+    batches: list[int] = []
 
-    def judge(rows: DataFrame, batch_id: int) -> None:
-        session = rows.sparkSession
+    def judge(places: DataFrame, batch_id: int) -> None:
+        session = places.sparkSession
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
-        run_filter(
-            session,
-            cfg,
-            filter_model,
-            raw=rows,
-            run_id=f"{query}-{batch_id:06d}",
-            text_cols=text_cols,
-            sleep=sleep,
-        )
+        first = not batches
         batches.append(batch_id)
+        with Scratch(session) as tmp:
+            runs = tmp.store(as_runs(places))
+            files = [row["src_file"] for row in runs.select("src_file").distinct().collect()]
+            if not files:
+                return
+            rows = rows_in_runs(with_source(session.read.schema(schema).parquet(*files)), runs)
+            run_filter(
+                session,
+                cfg,
+                filter_model,
+                raw=rows,
+                run_id=f"{query}-{batch_id:06d}",
+                text_cols=text_cols,
+                sleep=sleep,
+                profile=profile,
+                check_history=first,
+            )
 
     query = (
-        with_source(arrivals)
-        .writeStream.foreachBatch(judge)
-        .option("checkpointLocation", f"{cfg.root}/checkpoints/intake")
+        fresh.writeStream.foreachBatch(judge)
+        .option("checkpointLocation", f"{cfg.root}/checkpoints/intake-keyed")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     if label_model is not None:
-        run_label(spark, cfg, label_model, text_cols=text_cols, sleep=sleep)
+        run_label(spark, cfg, label_model, text_cols=text_cols, sleep=sleep, profile=profile)
     return len(batches)

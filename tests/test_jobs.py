@@ -293,3 +293,22 @@ def test_stream_repeats_a_batch_without_the_model(spark, cfg, monkeypatch):
     assert run_incremental(spark, cfg, model_of("yes", calls)) == 1
     assert calls.value == 4 and len(ids(spark, cfg)) == 4
     assert [r["status"] for r in read_ledger(spark, cfg).orderBy("status").collect()] == ["done", "judged"]
+
+
+def test_stream_reads_history_once_per_call_and_keeps_keys_in_state(spark, cfg, monkeypatch):
+    raw(cfg.raw_dir, "a", numbered(0, 3))
+    run_filter(spark, cfg, model_of("yes"))  # a run outside the stream
+    raw(cfg.raw_dir, "b", numbered(2, 5))  # r002 was judged by that run
+    raw(cfg.raw_dir, "c", numbered(4, 6) + [("r005", png(3, 3))])  # r004 came in b; r005 twice here
+    raw(cfg.raw_dir, "d", numbered(6, 8))
+    checked = []
+    real = jobs.pending_rows
+    monkeypatch.setattr(jobs, "pending_rows", lambda *a, **k: checked.append(1) or real(*a, **k))
+    calls = spark.sparkContext.accumulator(0)
+    assert run_incremental(spark, cfg, model_of("yes", calls), max_files=1) == 4
+    assert len(checked) == 1  # the first micro-batch only, however many follow
+    assert calls.value == 6  # r003, r004, r005 twice, r006, r007
+    assert ids(spark, cfg) == [f"r{i:03d}" for i in range(5)] + ["r005", "r005", "r006", "r007"]
+    raw(cfg.raw_dir, "e", numbered(7, 9))
+    assert run_incremental(spark, cfg, model_of("yes", calls), max_files=1, profile=None) == 1
+    assert len(checked) == 2 and calls.value == 7
