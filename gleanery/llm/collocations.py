@@ -24,19 +24,13 @@ from gleanery.session import Scratch, hint_if_small, stored
 # words are separated by spaces and tabs only.
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
 PIECE_WORDS = r"[^\x20\x09]+"
+PIECE_CHARS = ".,;:!?\x0a\x0b\x0c\x0d"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 # The per-lang ranking is done in this many parts of each lang first, then once over their leaders.
 RANK_PARTS = 256
 
 
-def _grams(words: Column, size: int) -> Column:
-    """The phrases of ``size`` consecutive words of an array, space-joined."""
-    last = F.size(words) - size
-    every = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(words, i + 1, size), " "))
-    return F.when(last >= 0, every).otherwise(F.array().cast("array<string>"))
-
-
 def collocations(
     docs: DataFrame,
     top: int = 2000,
@@ -61,46 +55,79 @@ def collocations(
         return stored(_collocations(tmp, docs, top, least, text_col, lang_col))
 
 
+def _seed(words: DataFrame) -> int:
+    """A seed under which no two words of one lang get the same 64-bit id (checked on all words)."""
+    seed = 0
+    while True:
+        ids = words.select("lang", F.explode("w").alias("word")).distinct().withColumn("id", F.xxhash64("word", F.lit(seed)))
+        if ids.groupBy("lang", "id").count().where("count > 1").isEmpty():
+            return seed
+        seed += 1
+
+
 def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col: str, lang_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
-    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
-    pieces = docs.select(lang, F.explode(F.split(lowered, PIECE_END)).alias("piece"))
-    words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(PIECE_WORDS), F.lit(0)).alias("w"))
-    words = words.where(F.size("w") > 0)
-    # One pass: every phrase with weight 1, and per piece a row without phrase that carries its word count.
-    weighted = lambda g: F.struct(g.alias("phrase"), F.lit(1).cast("long").alias("weight"))
-    every = F.concat(*(F.transform(_grams(F.col("w"), k), weighted) for k in (1, 2, 3)))
-    counted = F.array(F.struct(F.lit(None).cast("string").alias("phrase"), F.size("w").cast("long").alias("weight")))
-    grams = words.select("lang", F.explode(F.concat(every, counted)).alias("g")).select("lang", "g.phrase", "g.weight")
+    # One character mapping: A-Z lower-cased, piece ends to line feeds, tabs to spaces; then plain splits.
+    mapped = F.translate(
+        F.coalesce(F.col(text_col), F.lit("")), UPPER + PIECE_CHARS + "\t", LOWER + "\n" * len(PIECE_CHARS) + " "
+    )
+    pieces = docs.select(lang, F.explode(F.split(mapped, "\n")).alias("piece"))
+    words = tmp.store(pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("w")).where(F.size("w") > 0))
+    seed = _seed(words)
+
+    # Every word with the two after it in its piece, as ids; a rollup counts phrases of three, two and one
+    # word and the words of each lang (Expand and HashAggregate in generated code, no lambdas).
+    size = F.size("w")
+    zipped = words.select("lang", "w", F.slice("w", 2, size).alias("w2"), F.slice("w", 3, size).alias("w3"))
+    spots = zipped.select("lang", F.explode(F.arrays_zip("w", "w2", "w3")).alias("t"))
+
+    def ided(word: Column) -> Column:
+        return F.when(word.isNotNull(), F.xxhash64(word, F.lit(seed)))
+
+    spots = spots.select("lang", ided(F.col("t.w")).alias("x"), ided(F.col("t.w2")).alias("y"), ided(F.col("t.w3")).alias("z"))
+    rolled = spots.rollup("lang", "x", "y", "z").agg(F.count("*").alias("f"), F.grouping_id().alias("gid"))
+    # Levels by grouping id: 0 three words, 1 two, 3 one, 7 the lang's word count; places without a second or
+    # third word form groups with null ids there, which are no phrases.
+    kind = F.when(F.col("gid") == 0, 3).when(F.col("gid") == 1, 2).when(F.col("gid") == 3, 1).when(F.col("gid") == 7, 0)
+    summed = rolled.select("lang", kind.alias("k"), "x", "y", "z", "f").where(
+        F.col("k").isNotNull()
+        & F.col("lang").isNotNull()
+        & ((F.col("k") < 3) | F.col("z").isNotNull())
+        & ((F.col("k") < 2) | F.col("y").isNotNull())
+    )
     # Any part of a candidate occurs at least as often as the candidate: rarer phrases are never looked up.
-    summed = grams.groupBy("lang", "phrase").agg(F.sum("weight").alias("f"))
-    summed = tmp.store(summed.where(F.col("phrase").isNull() | (F.col("f") >= least)))
-    totals = summed.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
-    counts = summed.where(F.col("phrase").isNotNull())
-    parts = F.split("phrase", " ")
-    counts = counts.withColumn("len", F.size(parts))
-    cands = counts.where("len >= 2").select(
-        "lang",
-        "phrase",
-        "len",
-        F.col("f").alias("a"),
-        F.element_at(parts, 1).alias("head1"),
-        F.array_join(F.slice(parts, 1, 2), " ").alias("head2"),
-        F.element_at(parts, -1).alias("tail1"),
-        F.array_join(F.slice(parts, -2, 2), " ").alias("tail2"),
+    summed = tmp.store(summed.where((F.col("k") == 0) | (F.col("f") >= least)))
+    totals = summed.where("k = 0").select("lang", F.col("f").alias("n"))
+    counts = summed.where("k > 0")
+    names = words.select("lang", F.explode("w").alias("word")).distinct()
+    names = names.select("lang", F.xxhash64("word", F.lit(seed)).alias("id"), "word")
+    names = tmp.store(names.join(counts.where("k = 1").select("lang", F.col("x").alias("id")), ["lang", "id"], "left_semi"))
+
+    def count_of(size: int, keys: list[str], name: str) -> DataFrame:
+        """Counts of phrases of ``size`` words, their ids named ``keys``; a sort-merge join side."""
+        parts = ["x", "y", "z"][:size]
+        side = counts.where(F.col("k") == size).select(
+            "lang", *(F.col(p).alias(k) for p, k in zip(parts, keys, strict=True)), F.col("f").alias(name)
+        )
+        return side.hint("merge")
+
+    def word_of(key: str) -> DataFrame:
+        return names.select("lang", F.col("id").alias(key), F.col("word").alias(f"{key}_word")).hint("merge")
+
+    cands = counts.where("k >= 2").select("lang", F.col("k").alias("len"), "x", "y", "z", F.col("f").alias("a"))
+    # The last word, and the word before it (for two words, the phrase is its own last two).
+    cands = cands.withColumns(
+        {
+            "last": F.when(F.col("len") == 2, F.col("y")).otherwise(F.col("z")),
+            "before": F.when(F.col("len") == 2, F.col("x")).otherwise(F.col("y")),
+        }
     )
-    cands = tmp.store(cands)
-
-    def looked_up(key: str, name: str) -> DataFrame:
-        side = counts.select("lang", F.col("phrase").alias(key), F.col("f").alias(name)).hint("merge")
-        return side
-
     # Prefix order: counts of first parts; suffix order: counts of last parts.
     scored = (
-        cands.join(looked_up("head1", "f_h1"), ["lang", "head1"])
-        .join(looked_up("head2", "f_h2"), ["lang", "head2"])
-        .join(looked_up("tail1", "f_t1"), ["lang", "tail1"])
-        .join(looked_up("tail2", "f_t2"), ["lang", "tail2"])
+        cands.join(count_of(1, ["x"], "f_h1"), ["lang", "x"])
+        .join(count_of(2, ["x", "y"], "f_h2"), ["lang", "x", "y"])
+        .join(count_of(1, ["last"], "f_t1"), ["lang", "last"])
+        .join(count_of(2, ["before", "last"], "f_t2"), ["lang", "before", "last"])
     )
     big = "decimal(38,0)"
     scored = scored.withColumns(
@@ -116,26 +143,30 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
     second = (F.col("len") == 3) & (s2 < s1)
     scored = scored.select(
         "lang",
-        "phrase",
         "len",
+        "x",
+        "y",
+        "z",
         "a",
         F.when(second, F.col("f_h2")).otherwise(F.col("f_h1")).alias("l"),
-        F.when(second, F.col("f_t1")).when(F.col("len") == 2, F.col("f_t1")).otherwise(F.col("f_t2")).alias("r"),
+        F.when(second | (F.col("len") == 2), F.col("f_t1")).otherwise(F.col("f_t2")).alias("r"),
         F.when(second, s2).otherwise(s1).alias("score"),
     )
 
-    # Extensions: three-word candidates by their first two and last two words.
+    # Extensions: three-word candidates by their first two and by their last two words.
     longer = cands.where("len = 3")
     ext = (
-        longer.select("lang", F.col("head2").alias("phrase"), "a")
-        .unionByName(longer.select("lang", F.col("tail2").alias("phrase"), "a"))
-        .groupBy("lang", "phrase")
+        longer.select("lang", "x", "y", "a")
+        .unionByName(longer.select("lang", F.col("y").alias("x"), F.col("z").alias("y"), "a"))
+        .groupBy("lang", "x", "y")
         .agg(F.max("a").alias("ext"))
     )
-    kept = scored.join(ext.hint("merge"), ["lang", "phrase"], "left").where(
-        (F.col("len") == 3) | F.col("ext").isNull() | (F.col("ext") * 100 < F.col("a") * 50)
-    )
-    kept = tmp.store(kept.drop("ext", "len"))
+    pairs = scored.where("len = 2").join(ext.hint("merge"), ["lang", "x", "y"], "left")
+    pairs = pairs.where(F.col("ext").isNull() | (F.col("ext") * 100 < F.col("a") * 50)).drop("ext")
+    kept = pairs.unionByName(scored.where("len = 3"))
+    kept = kept.join(word_of("x"), ["lang", "x"]).join(word_of("y"), ["lang", "y"]).join(word_of("z"), ["lang", "z"], "left")
+    phrase = F.when(F.col("len") == 2, F.concat_ws(" ", "x_word", "y_word")).otherwise(F.concat_ws(" ", "x_word", "y_word", "z_word"))
+    kept = tmp.store(kept.select("lang", phrase.alias("phrase"), "a", "l", "r", "score"))
 
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
@@ -152,3 +183,13 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
         "n",
         F.col("score").cast("long").alias("score"),
     )
+
+
+def _seed(words: DataFrame) -> int:
+    """A seed under which no two words of one lang get the same 64-bit id (checked on all words)."""
+    seed = 0
+    while True:
+        ids = words.select("lang", F.explode("w").alias("word")).distinct().withColumn("id", F.xxhash64("word", F.lit(seed)))
+        if ids.groupBy("lang", "id").count().where("count > 1").isEmpty():
+            return seed
+        seed += 1
