@@ -28,8 +28,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 # The ASCII characters that ITEM_WORDS leaves out, built from its ranges (A-Z are lower-cased instead).
 SEPARATORS = "".join(chr(c) for c in (*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)))
-# Candidate starts must be met by this many of a window's rarest words before every word is checked.
+# Candidate starts must be met by this many of a window's rarest terms before every term is checked.
 RAREST = 3
+# Joins the two words of a pair term; words never hold it.
+PAIR = " "
 
 
 def item_words(text: Column) -> Column:
@@ -88,26 +90,47 @@ def _contamination(
     windows = tmp.store(_windows(bench, item_col, item_text_col, window).distinct())
     phrases = tmp.store(windows.select("phrase").distinct().withColumn("pid", F.monotonically_increasing_id()))
     owners = windows.join(phrases, "phrase").select("pid", "item_id")
-    vocab = tmp.store(
-        phrases.select(F.explode("phrase").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id())
+    # A window's terms: its pairs of consecutive words at their offsets; a window of one word is its one term.
+    size = F.size("phrase")
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))),
+        lambda i: F.concat_ws(PAIR, F.element_at("phrase", i), F.element_at("phrase", i + 1)),
     )
-    terms = phrases.select("pid", F.size("phrase").alias("len"), F.posexplode("phrase").alias("off", "word"))
-    terms = terms.join(vocab, "word").select("pid", "len", "off", "term")
-
-    # One pass over the documents: a posting per word of the test set (as its term id), and per row one
-    # posting without term whose position is the row's word count.
+    keys = phrases.select("pid", size.alias("words"), F.when(size >= 2, pairs).otherwise(F.col("phrase")).alias("keys"))
+    keys = keys.select("pid", "words", F.size("keys").alias("len"), F.posexplode("keys").alias("off", "key"))
+    vocab = tmp.store(keys.select("key").distinct().withColumn("term", F.monotonically_increasing_id()))
+    terms = keys.join(vocab, "key").select("pid", "words", "len", "off", "term")
+    singles = vocab.where(~F.col("key").contains(PAIR))
+
+    # One pass over the documents: a posting per pair of consecutive words (and per single word, where
+    # windows of one word exist) that the test set has, as term ids; per row one posting without term
+    # whose position is the row's word count.
     words = item_words(F.col(text_col))
-    each = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
-    tail = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.size(words).alias("pos")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_col)
-    entries = rows.select("row", "doc_id", F.explode(F.concat(each, tail)).alias("e"))
-    entries = entries.select("row", F.when(F.col("e.word").isNull(), F.col("doc_id")).alias("doc_id"), "e.word", "e.pos")
-    entries = entries.join(hint_if_small(vocab), "word", "left").where(F.col("term").isNotNull() | F.col("word").isNull())
-    stored_entries = tmp.store(entries.select("row", "pos", "term", "doc_id"))
-    counted = stored_entries.where(F.col("term").isNull()).select("row", "doc_id", F.col("pos").alias("n_words"))
-    postings = stored_entries.where(F.col("term").isNotNull()).select("row", "pos", "term")
-
-    # Term frequencies; a window with a word that no document has cannot occur.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words.alias("a"))
+    rows = rows.select("row", "doc_id", F.concat("a", F.array(F.lit(None).cast("string"))).alias("a"))
+    rows = rows.select("row", "doc_id", "a", F.slice("a", 2, F.size("a")).alias("b"))
+    spots = rows.select("row", "doc_id", F.posexplode(F.arrays_zip("a", "b")).alias("pos", "t"))
+    spots = spots.select(
+        "row",
+        F.when(F.col("t.a").isNull(), F.col("doc_id")).alias("doc_id"),
+        "pos",
+        F.col("t.a").alias("single"),
+        F.when(F.col("t.b").isNotNull(), F.concat_ws(PAIR, "t.a", "t.b")).alias("key"),
+    )
+    spots = spots.join(hint_if_small(vocab), "key", "left")
+    if not singles.isEmpty():
+        one = singles.select(F.col("key").alias("single"), F.col("term").alias("term1"))
+        spots = spots.join(hint_if_small(one), "single", "left")
+    else:
+        spots = spots.withColumn("term1", F.lit(None).cast("long"))
+    spots = spots.where(F.col("term").isNotNull() | F.col("term1").isNotNull() | F.col("single").isNull())
+    entries = tmp.store(spots.select("row", "pos", "term", "term1", "doc_id"))
+    # Rows that kept neither term are the word counts.
+    counted = entries.where(F.col("term").isNull() & F.col("term1").isNull()).select("row", "doc_id", F.col("pos").alias("n_words"))
+    postings = entries.where(F.col("term").isNotNull()).select("row", "pos", "term").unionByName(
+        entries.where(F.col("term1").isNotNull()).select("row", "pos", F.col("term1").alias("term"))
+    )
+    # Term frequencies; a window with a term that no document has cannot occur.
     freq = postings.groupBy("term").agg(F.count("*").alias("df"))
     known = terms.join(freq, "term")
     complete = known.groupBy("pid").agg(F.count("*").alias("k"), F.first("len").alias("len")).where("k = len")
@@ -116,23 +139,25 @@ def _contamination(
     rare = known.withColumn("rank", rarity).where(F.col("rank") <= RAREST).select("pid", "off", "term", "rank")
     need = rare.groupBy("pid").agg(F.count("*").alias("need"))
 
-    # Starts where the rarest words all stand at their offsets.
+    # Starts where the rarest terms all stand at their offsets.
     rare = tmp.store(rare.join(need, "pid"))
     hits = postings.join(hint_if_small(rare), "term").select("pid", "row", (F.col("pos") - F.col("off")).alias("start"), "need")
     candidates = hits.where("start >= 0").groupBy("pid", "row", "start").agg(F.count("*").alias("k"), F.first("need").alias("need"))
     candidates = tmp.store(candidates.where("k = need").select("pid", "row", "start"))
 
-    # Every word of a candidate checked against the postings.
-    checks = candidates.join(known.select("pid", "off", "term", "len"), "pid").select(
-        "pid", "row", "start", "len", (F.col("start") + F.col("off")).alias("pos"), "term"
+    # Every term of a candidate checked against the postings; all pairs in place mean all words are.
+    checks = candidates.join(known.select("pid", "off", "term", "len", "words"), "pid").select(
+        "pid", "row", "start", "len", "words", (F.col("start") + F.col("off")).alias("pos"), "term"
     )
     checks = tmp.store(checks)
     met = postings.join(hint_if_small(checks), ["row", "pos", "term"])
     matches = tmp.store(
-        met.groupBy("pid", "row", "start").agg(F.count("*").alias("k"), F.first("len").alias("len")).where("k = len")
+        met.groupBy("pid", "row", "start")
+        .agg(F.count("*").alias("k"), F.first("len").alias("len"), F.first("words").alias("words"))
+        .where("k = len")
     )
 
-    covered = matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("pos"))
+    covered = matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("words") - 1)).alias("pos"))
     n_hit = covered.distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     named = matches.select("pid", "row").distinct().join(owners.where(F.col("item_id").isNotNull()), "pid")
     items = named.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
