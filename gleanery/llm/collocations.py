@@ -55,16 +55,6 @@ def collocations(
         return stored(_collocations(tmp, docs, top, least, text_col, lang_col))
 
 
-def _seed(words: DataFrame) -> int:
-    """A seed under which no two words of one lang get the same 64-bit id (checked on all words)."""
-    seed = 0
-    while True:
-        ids = words.select("lang", F.explode("w").alias("word")).distinct().withColumn("id", F.xxhash64("word", F.lit(seed)))
-        if ids.groupBy("lang", "id").count().where("count > 1").isEmpty():
-            return seed
-        seed += 1
-
-
 def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col: str, lang_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     # One character mapping: A-Z lower-cased, piece ends to line feeds, tabs to spaces; then plain splits.
@@ -73,47 +63,36 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
     )
     pieces = docs.select(lang, F.explode(F.split(mapped, "\n")).alias("piece"))
     words = tmp.store(pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("w")).where(F.size("w") > 0))
-    seed = _seed(words)
-
-    # Every word with the two after it in its piece, as ids; a rollup counts phrases of three, two and one
-    # word and the words of each lang (Expand and HashAggregate in generated code, no lambdas).
+    # Every word with the two after it in its piece (nulls past the end), without lambdas.
     size = F.size("w")
-    zipped = words.select("lang", "w", F.slice("w", 2, size).alias("w2"), F.slice("w", 3, size).alias("w3"))
-    spots = zipped.select("lang", F.explode(F.arrays_zip("w", "w2", "w3")).alias("t"))
-
-    def ided(word: Column) -> Column:
-        return F.when(word.isNotNull(), F.xxhash64(word, F.lit(seed)))
-
-    spots = spots.select("lang", ided(F.col("t.w")).alias("x"), ided(F.col("t.w2")).alias("y"), ided(F.col("t.w3")).alias("z"))
-    rolled = spots.rollup("lang", "x", "y", "z").agg(F.count("*").alias("f"), F.grouping_id().alias("gid"))
-    # Levels by grouping id: 0 three words, 1 two, 3 one, 7 the lang's word count; places without a second or
-    # third word form groups with null ids there, which are no phrases.
-    kind = F.when(F.col("gid") == 0, 3).when(F.col("gid") == 1, 2).when(F.col("gid") == 3, 1).when(F.col("gid") == 7, 0)
-    summed = rolled.select("lang", kind.alias("k"), "x", "y", "z", "f").where(
-        F.col("k").isNotNull()
-        & F.col("lang").isNotNull()
-        & ((F.col("k") < 3) | F.col("z").isNotNull())
-        & ((F.col("k") < 2) | F.col("y").isNotNull())
-    )
+    zipped = words.select("lang", "w", F.slice("w", 2, size).alias("y"), F.slice("w", 3, size).alias("z"))
+    spots = zipped.select("lang", F.explode(F.arrays_zip(F.col("w").alias("x"), "y", "z")).alias("t")).select("lang", "t.*")
+
+    # Pass 1: one rollup counts words, pairs and each lang's words (grouping id 0, 1, 3).
+    rolled = spots.rollup("lang", "x", "y").agg(F.count("*").alias("f"), F.grouping_id().alias("gid"))
+    kind = F.when(F.col("gid") == 0, 2).when(F.col("gid") == 1, 1).when(F.col("gid") == 3, 0)
+    short = rolled.select("lang", kind.alias("k"), "x", "y", F.lit(None).cast("string").alias("z"), "f")
+    short = short.where(F.col("k").isNotNull() & ((F.col("k") < 2) | F.col("y").isNotNull()))
     # Any part of a candidate occurs at least as often as the candidate: rarer phrases are never looked up.
-    summed = tmp.store(summed.where((F.col("k") == 0) | (F.col("f") >= least)))
-    totals = summed.where("k = 0").select("lang", F.col("f").alias("n"))
+    short = tmp.store(short.where((F.col("k") == 0) | (F.col("f") >= least)))
+    # Pass 2: a phrase of three words can only reach ``least`` if both its pairs do; only those are counted.
+    pairs = short.where("k = 2").select("lang", "x", "y")
+    frequent = hint_if_small(pairs)
+    triples = spots.where(F.col("z").isNotNull()).join(frequent, ["lang", "x", "y"], "left_semi")
+    triples = triples.join(frequent.select("lang", F.col("x").alias("y"), F.col("y").alias("z")), ["lang", "y", "z"], "left_semi")
+    triples = triples.groupBy("lang", "x", "y", "z").agg(F.count("*").alias("f")).where(F.col("f") >= least)
+    summed = short.unionByName(tmp.store(triples.select("lang", F.lit(3).alias("k"), "x", "y", "z", "f")))
+    totals = short.where("k = 0").select("lang", F.col("f").alias("n"))
     counts = summed.where("k > 0")
-    names = words.select("lang", F.explode("w").alias("word")).distinct()
-    names = names.select("lang", F.xxhash64("word", F.lit(seed)).alias("id"), "word")
-    names = tmp.store(names.join(counts.where("k = 1").select("lang", F.col("x").alias("id")), ["lang", "id"], "left_semi"))
 
     def count_of(size: int, keys: list[str], name: str) -> DataFrame:
-        """Counts of phrases of ``size`` words, their ids named ``keys``; a sort-merge join side."""
+        """Counts of phrases of ``size`` words, their words named ``keys``; a sort-merge join side."""
         parts = ["x", "y", "z"][:size]
         side = counts.where(F.col("k") == size).select(
             "lang", *(F.col(p).alias(k) for p, k in zip(parts, keys, strict=True)), F.col("f").alias(name)
         )
         return side.hint("merge")
 
-    def word_of(key: str) -> DataFrame:
-        return names.select("lang", F.col("id").alias(key), F.col("word").alias(f"{key}_word")).hint("merge")
-
     cands = counts.where("k >= 2").select("lang", F.col("k").alias("len"), "x", "y", "z", F.col("f").alias("a"))
     # The last word, and the word before it (for two words, the phrase is its own last two).
     cands = cands.withColumns(
@@ -164,8 +143,7 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
     pairs = scored.where("len = 2").join(ext.hint("merge"), ["lang", "x", "y"], "left")
     pairs = pairs.where(F.col("ext").isNull() | (F.col("ext") * 100 < F.col("a") * 50)).drop("ext")
     kept = pairs.unionByName(scored.where("len = 3"))
-    kept = kept.join(word_of("x"), ["lang", "x"]).join(word_of("y"), ["lang", "y"]).join(word_of("z"), ["lang", "z"], "left")
-    phrase = F.when(F.col("len") == 2, F.concat_ws(" ", "x_word", "y_word")).otherwise(F.concat_ws(" ", "x_word", "y_word", "z_word"))
+    phrase = F.concat_ws(" ", "x", "y", "z")
     kept = tmp.store(kept.select("lang", phrase.alias("phrase"), "a", "l", "r", "score"))
 
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
@@ -183,13 +161,3 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
         "n",
         F.col("score").cast("long").alias("score"),
     )
-
-
-def _seed(words: DataFrame) -> int:
-    """A seed under which no two words of one lang get the same 64-bit id (checked on all words)."""
-    seed = 0
-    while True:
-        ids = words.select("lang", F.explode("w").alias("word")).distinct().withColumn("id", F.xxhash64("word", F.lit(seed)))
-        if ids.groupBy("lang", "id").count().where("count > 1").isEmpty():
-            return seed
-        seed += 1
