@@ -68,21 +68,29 @@ def _collocations(tmp: Scratch, docs: DataFrame, top: int, least: int, text_col:
     zipped = words.select("lang", "w", F.slice("w", 2, size).alias("y"), F.slice("w", 3, size).alias("z"))
     spots = zipped.select("lang", F.explode(F.arrays_zip(F.col("w").alias("x"), "y", "z")).alias("t")).select("lang", "t.*")
 
-    # Pass 1: one rollup counts words, pairs and each lang's words (grouping id 0, 1, 3).
-    rolled = spots.rollup("lang", "x", "y").agg(F.count("*").alias("f"), F.grouping_id().alias("gid"))
-    kind = F.when(F.col("gid") == 0, 2).when(F.col("gid") == 1, 1).when(F.col("gid") == 3, 0)
-    short = rolled.select("lang", kind.alias("k"), "x", "y", F.lit(None).cast("string").alias("z"), "f")
-    short = short.where(F.col("k").isNotNull() & ((F.col("k") < 2) | F.col("y").isNotNull()))
+    # Pass 1: words, and each lang's word count (grouping ids 0 and 1).
+    once = words.select("lang", F.explode("w").alias("x"))
+    rolled = once.rollup("lang", "x").agg(F.count("*").alias("f"), F.grouping_id().alias("gid"))
+    single = rolled.where(F.col("lang").isNotNull() & F.col("gid").isin(0, 1)).select(
+        "lang", F.when(F.col("gid") == 0, 1).otherwise(0).alias("k"), "x", "f"
+    )
     # Any part of a candidate occurs at least as often as the candidate: rarer phrases are never looked up.
-    short = tmp.store(short.where((F.col("k") == 0) | (F.col("f") >= least)))
-    # Pass 2: a phrase of three words can only reach ``least`` if both its pairs do; only those are counted.
+    single = tmp.store(single.where((F.col("k") == 0) | (F.col("f") >= least)))
+    # Pass 2: a pair can only reach ``least`` if both its words do; only those pairs are counted.
+    known = hint_if_small(single.where("k = 1").select("lang", "x"))
+    pairs = spots.where(F.col("y").isNotNull()).select("lang", "x", "y").join(known, ["lang", "x"], "left_semi")
+    pairs = pairs.join(known.select("lang", F.col("x").alias("y")), ["lang", "y"], "left_semi")
+    pairs = pairs.groupBy("lang", "x", "y").agg(F.count("*").alias("f")).where(F.col("f") >= least)
+    short = single.select("lang", "k", "x", F.lit(None).cast("string").alias("y"), F.lit(None).cast("string").alias("z"), "f")
+    short = short.unionByName(tmp.store(pairs.select("lang", F.lit(2).alias("k"), "x", "y", F.lit(None).cast("string").alias("z"), "f")))
+    # Pass 3: a phrase of three words can only reach ``least`` if both its pairs do; only those are counted.
     pairs = short.where("k = 2").select("lang", "x", "y")
     frequent = hint_if_small(pairs)
     triples = spots.where(F.col("z").isNotNull()).join(frequent, ["lang", "x", "y"], "left_semi")
     triples = triples.join(frequent.select("lang", F.col("x").alias("y"), F.col("y").alias("z")), ["lang", "y", "z"], "left_semi")
     triples = triples.groupBy("lang", "x", "y", "z").agg(F.count("*").alias("f")).where(F.col("f") >= least)
     summed = short.unionByName(tmp.store(triples.select("lang", F.lit(3).alias("k"), "x", "y", "z", "f")))
-    totals = short.where("k = 0").select("lang", F.col("f").alias("n"))
+    totals = single.where("k = 0").select("lang", F.col("f").alias("n"))
     counts = summed.where("k > 0")
 
     def count_of(size: int, keys: list[str], name: str) -> DataFrame:
