@@ -148,17 +148,31 @@ ORACLES["parse_verdict"] = f"""
 SELECT id, starts_with(upper(trim(answer, {_WS})), 'YES') AS keep FROM ({X.VERDICT_ANSWERS}) AS v"""
 
 
+# White space that a fence may have next to it (a regex's \\s), and the fence itself.
+_FENCE_WS = "' ' || chr(9) || chr(10) || chr(12) || chr(13)"
+_FENCE = "'```'"
+
+
 def _parsed(answers: str) -> str:
-    """Answers with the cleaned text, the embedded fragment and the JSON that counts."""
-    cleaned = (
-        f"trim(regexp_replace(regexp_replace(trim(answer, {_WS}), '^```(?:json)?\\s*', '', 'i'), "
-        f"'\\s*```$', ''), {_WS})"
-    )
+    """Answers with the cleaned text, the embedded fragment and the JSON that counts.
+
+    The fence and its tag come off by position (starts_with, ends_with, substr);
+    the fragment runs from the first opening to the last closing brace, found
+    with instr and with the text after the last closing brace.
+    """
+    opened = f"""CASE WHEN starts_with(t, {_FENCE}) THEN ltrim(CASE WHEN lower(substr(t, 4, 4)) = 'json'
+        THEN substr(t, 8) ELSE substr(t, 4) END, {_FENCE_WS}) ELSE t END"""
+    closed = f"CASE WHEN ends_with(o, {_FENCE}) THEN rtrim(substr(o, 1, length(o) - 3), {_FENCE_WS}) ELSE o END"
     return f"""
 SELECT *, CASE WHEN json_valid(cleaned) THEN cleaned
     WHEN fragment <> '' AND json_valid(fragment) THEN fragment END AS data
-FROM (SELECT *, regexp_extract(cleaned, '(?s)\\{{.*\\}}', 0) AS fragment
-  FROM (SELECT *, {cleaned} AS cleaned FROM ({answers}) AS a) AS b) AS c"""
+FROM (SELECT * EXCLUDE (first_open, closes, last_close), CASE WHEN first_open > 0 AND closes > 1 AND last_close > first_open
+        THEN substr(cleaned, first_open, last_close - first_open + 1) ELSE '' END AS fragment
+  FROM (SELECT *, instr(cleaned, '{{') AS first_open, len(string_split(cleaned, '}}')) AS closes,
+          length(cleaned) - length(string_split(cleaned, '}}')[-1]) AS last_close
+    FROM (SELECT * EXCLUDE (t, o), trim({closed}, {_WS}) AS cleaned
+      FROM (SELECT *, {opened} AS o
+        FROM (SELECT *, trim(answer, {_WS}) AS t FROM ({answers}) AS a) AS a1) AS a2) AS b) AS b2) AS c"""
 
 
 def _text(name: str) -> str:
