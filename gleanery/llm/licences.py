@@ -9,12 +9,15 @@ known sentences are cut in the same way, and their pieces have to follow each
 other. Sentences are normalised and looked up in a small table. What is found,
 in the order of the text, is matched against rules; an earlier rule takes its
 sentences, so that a long form is not reported again as its parts. Everything is
-one expression per row: no shuffle, whatever the table.
+one expression per row: no shuffle, whatever the table. Only texts with a word
+that a known sentence cannot do without are cut.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,6 +174,20 @@ def _matched(found: Column, rules: list[tuple[str, list[str]]]) -> Column:
     return F.aggregate(table, start, step)["names"]
 
 
+def anchors(sentences: dict[str, str]) -> list[str]:
+    """Strings of which a text in lower case holds at least one if it holds a known sentence, in one piece or cut.
+
+    No cut and no normalisation joins letters, so the words of a sentence stand
+    in the text as they are, but for the spelling of the noun.
+    """
+    chosen: list[str] = []
+    for text in sentences.values():
+        words = ["licen" if "license" in w else w for w in normalised_sentence(text).split()]
+        if not any(a in w for a in chosen for w in words):
+            chosen.append(max(words, key=len, default=""))
+    return chosen
+
+
 def _table(sentences: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for key, text in sentences.items() for x in (normalised_sentence(text), key)])
 
@@ -197,9 +214,13 @@ def recognise_licences(
     known = _table(sentences)
     pieces, piece_rules = cut_sentences(sentences, rules)
     known_pieces = _table(pieces)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = df.select(
-        F.col(id_col).alias("doc_id"),
+    # Texts without any anchor hold no known sentence: they are like empty ones, and no cut is made of them.
+    lower = F.lower(F.col(text_col))
+    anchored = reduce(or_, [F.contains(lower, F.lit(a)) for a in anchors(sentences)], F.lit(False))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.when(anchored, F.col(text_col)).otherwise("").alias("text"))
+    text = F.col("text")
+    found = rows.select(
+        "doc_id",
         _found(_sentences(text, lines=True), known).alias("by_line"),
         _found(_sentences(text, lines=False), known).alias("unwrapped"),
         _found(_pieces(text, bullets=False), known_pieces).alias("by_layout"),

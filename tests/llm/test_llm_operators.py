@@ -29,6 +29,7 @@ from gleanery.llm.quality import Crf, fit_quality, forward_backward, score_quali
 from gleanery.llm.sharding import communication_matrix, shard_rows
 from gleanery.llm.substring import SuffixAutomaton, remove_repeats
 from gleanery.session import Scratch
+from tests.conftest import plan_of
 
 RANKS = "file://" + public.path("byte_bpe_multi_50k.tiktoken")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -379,6 +380,25 @@ def test_licences(spark, empty):
     assert recognise_licences(empty).count() == 0
 
 
+def test_licence_anchors(spark):
+    """Texts without a word of a known sentence take no regex; any spelling, cut or sentence of the caller's still counts."""
+    known = licences.SENTENCES | {"dots": "..."}
+    assert licences.anchors({"x": "Of the Licence.", "y": "A licenCed work."}) == ["licen"]
+    for key, sentence in licences.SENTENCES.items():
+        words = licences.normalised_sentence(sentence).replace("license", "licence").split()
+        for form in (sentence.upper(), "\n".join(words), "\u00e9".join(words)):
+            assert any(a in form.lower() for a in licences.anchors(licences.SENTENCES)), key
+    rows = spark.createDataFrame([(1, "x ... y"), (2, "RELEASED UNDER THE MIT LICENCE.\u00a0"), (3, "plain")], "doc_id long, text string")
+    own = recognise_licences(rows, known, [("MIT", ["mit-line"])])
+    assert {r.doc_id: r.n_found for r in own.collect()} == {1: 0, 2: 1, 3: 0}
+    blank = spark.createDataFrame([(1, "x\n...\ny"), (2, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_found for r in recognise_licences(blank, known).collect()} == {1: 1, 2: 1}
+
+    # What is cut reads the text column of the filter, not that of the table.
+    plan = plan_of(recognise_licences(rows))
+    assert plan.count("Contains(") == len(licences.anchors(licences.SENTENCES))
+
+
 def test_licence_files(spark):
     """Whole standard files with copyright lines: wrapped, one line per paragraph, as comments, with bullets."""
 
