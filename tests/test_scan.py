@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from gleanery.operators.project import conform, normalize
 from gleanery.operators.union import union_by_name
+from gleanery.session import prepare
 from gleanery.sources.files import file_manifest, glob_match, load_selected, select_files
 from gleanery.sources.scan import extract_bytes, read_table, scan_raw
 from tests.conftest import plan_of
@@ -127,3 +128,15 @@ def test_union_checks_types(spark):
     assert both.columns == ["n", "s", "d"] and both.count() == 3
     with pytest.raises(TypeError):
         union_by_name(a, spark.createDataFrame([(1,)], "n bigint"))
+
+
+def test_folders_are_listed_in_few_tasks(spark):
+    """Not in a task per shard folder, unless the session says so."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert int(prepare(spark).conf.get(name)) <= 4 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "7")
+        assert prepare(spark).conf.get(name) == "7"
+    finally:
+        spark.conf.set(name, before)
