@@ -13,6 +13,8 @@ from gleanery.plans.jobs import attempts
 from gleanery.plans.ledger import read_ledger
 from gleanery.plans.reports import progress, run_stats
 from gleanery.schemas import FILTER_OUTPUT, LABEL_OUTPUT
+from gleanery.sources.scan import with_source
+from gleanery.streaming.incremental import new_keys, places_of
 from tests.conftest import png
 
 
@@ -312,3 +314,29 @@ def test_stream_reads_history_once_per_call_and_keeps_keys_in_state(spark, cfg,
     raw(cfg.raw_dir, "e", numbered(7, 9))
     assert run_incremental(spark, cfg, model_of("yes", calls), max_files=1, profile=None) == 1
     assert len(checked) == 2 and calls.value == 7
+
+
+def test_new_keys_need_no_call_per_key(spark, path):
+    """Keys and files come out once each; all places of a new key in the micro-batch's files are found again."""
+    pq.write_table(pa.table({"id": ["a", "b", "a"], "data": [b"1", b"2", b"3"]}), f"{path}/0.parquet")
+    pq.write_table(pa.table({"id": ["a", "", None], "data": [b"1", b"2", b"3"]}), f"{path}/1.parquet")
+    table = spark.read.parquet(path)
+    found = new_keys(table, "id")
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "Pandas" not in plan
+    rows = found.collect()
+    assert sorted(r["_key"][-9:] for r in rows if r["_is_file"]) == ["0.parquet", "1.parquet"]
+    assert len([r for r in rows if not r["_is_file"]]) == 4
+    places = places_of(found.where("NOT _is_file AND _key <> 'b'"), with_source(table), "id")
+    got = sorted((r["src_file"][-9:], r["src_row"]) for r in places.collect())
+    assert got == [("0.parquet", 0), ("0.parquet", 2), ("1.parquet", 0), ("1.parquet", 1), ("1.parquet", 2)]
+
+
+def test_stream_begun_by_an_earlier_version_judges_nothing_twice(spark, cfg):
+    raw(cfg.raw_dir, "a", numbered(0, 2))
+    raw(cfg.raw_dir, "b", numbered(2, 4))
+    run_filter(spark, cfg, model_of("yes"))  # as that stream did
+    os.makedirs(f"{cfg.root}/checkpoints/intake-keyed")
+    calls = spark.sparkContext.accumulator(0)
+    assert run_incremental(spark, cfg, model_of("yes", calls), max_files=1) == 2
+    assert calls.value == 0 and len(ids(spark, cfg)) == 4
