@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.llm import licences, neighbours
+from gleanery.llm import licences, near, neighbours
 from gleanery.llm.bpe import Bpe, encode_documents, load_ranks
 from gleanery.llm.components import components
 from gleanery.llm.exact import exact_duplicates
@@ -126,6 +126,24 @@ def test_near_repeated_and_null_ids(spark):
     assert [r.kept for r in got if not r.n_shingles] == [True]
 
 
+def test_near_pairs_of_a_group_under_the_threshold(spark, monkeypatch):
+    """Copies that are alike, but mostly not enough: pairs that can't be links are not compared."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = {}
+    for i, share in enumerate([0.015] * 40 + [0.03] * 120):
+        texts[i] = " ".join(str(rng.random()) if rng.random() < share else w for w in base)
+    sent, test = [], near._test
+    monkeypatch.setattr(near, "_test", lambda pairs, *rest: (sent.append(pairs.count()), test(pairs, *rest))[1])
+    got = near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    sets = {k: shingles(t.split(), 5) for k, t in texts.items()}
+    want = linked(sets)
+    assert {r.doc_id: r.component_id for r in got} == {k: want[k] for k in texts}
+    several = len({want[k] for k in texts})
+    assert several > 20
+    assert sent[-1] < 5 * len(texts)
+
+
 def test_sequential_test_hardly_drops_links():
     rule = NearRule()
     rng = np.random.default_rng(0)
