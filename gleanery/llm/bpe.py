@@ -6,7 +6,8 @@ pair of least rank first, the leftmost of equals. The tables are bounded by the
 vocabulary: they are made once on the driver and broadcast.
 
 Texts are cut at single spaces between other characters, where no pre-token
-can reach across, and pieces that were met before are taken from a bounded memo.
+can reach across, and pieces that were met before are taken from a bounded memo,
+with what their ids decode to.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import base64
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,9 @@ from .words import small
 MEMO_PIECES = 300_000
 MEMO_TOKENS = 200_000
 
+# Of a piece: its number of ids, these as decimals joined by commas, the bytes decoded from them, and as 32-bit numbers.
+Piece = tuple[int, str, bytes, bytes]
+
 _ODD_SPACE = re.compile(r" \s|\s ")
 _PLAIN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -104,8 +109,9 @@ class Bpe:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.match = regex.compile(self.pattern).findall
         self.decimal = {rank: str(rank) for rank in self.tokens}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # By what follows the piece's space.
+        self.young: dict[str, Piece] = {}
+        self.old: dict[str, Piece] = {}
         self.young_tokens: dict[str, list[int]] = {}
         self.old_tokens: dict[str, list[int]] = {}
 
@@ -159,31 +165,34 @@ class Bpe:
             i = after[i]
         return out
 
-    def encode_piece(self, piece: str) -> bytes:
+    def encode_piece(self, piece: str) -> Piece:
         ids: list[int] = []
         for match in self.match(piece):
             ids += self.pre_token(match)
-        return np.array(ids, dtype="<u4").tobytes()
+        return len(ids), ",".join(map(self.decimal.__getitem__, ids)), self.decode(ids), array("I", ids).tobytes()
 
-    def piece(self, piece: str) -> bytes:
-        """``encode_piece`` with a memo; its older half goes when the younger is full."""
-        found = self.old.get(piece)
+    def after_space(self, part: str) -> Piece:
+        """``encode_piece`` of a space and ``part`` with a memo; its older half goes when the younger is full."""
+        found = self.old.get(part)
         if found is None:
-            found = self.encode_piece(piece)
+            found = self.encode_piece(" " + part)
         if len(self.young) >= MEMO_PIECES:
             self.old, self.young = self.young, {}
-        self.young[piece] = found
+        self.young[part] = found
         return found
 
-    def encode(self, text: str) -> np.ndarray:
+    def pieces(self, text: str) -> list[Piece]:
         if not text:
-            return np.zeros(0, dtype="<u4")
-        parts = _PLAIN_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        pieces = [parts[0], *[" " + part for part in parts[1:]]]
-        if parts[0] == "":  # the text begins with one space
-            pieces = pieces[1:] or [text]
-        young = self.young.get
-        return np.frombuffer(b"".join([young(p) or self.piece(p) for p in pieces]), dtype="<u4")
+            return []
+        first, *parts = _PLAIN_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+        # Without a first part, the text begins with one space.
+        found = [self.encode_piece(first)] if first else []
+        if parts:
+            found += [self.young.get(part) or self.after_space(part) for part in parts]
+        return found
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([raw for *_, raw in self.pieces(text)]), dtype="<u4")
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -211,18 +220,16 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value
-        decimal = bpe.decimal.__getitem__
         for batch in small(batches):
             texts = batch.column("text")
             n, hashed, decoded, kept = [], [], [], []
             for text in texts:
-                ids = bpe.encode(text.as_py() or "")
-                listed = ids.tolist()
-                n.append(len(listed))
-                hashed.append(hashlib.sha256(",".join(map(decimal, listed)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(listed)).hexdigest())
+                counts, decimals, parts, raw = zip(*bpe.pieces(text.as_py() or "") or [(0, "", b"", b"")], strict=True)
+                n.append(sum(counts))
+                hashed.append(hashlib.sha256(",".join(filter(None, decimals)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(parts)).hexdigest())
                 if with_ids:
-                    kept.append(ids.view("<i4"))
+                    kept.append(np.frombuffer(b"".join(raw), dtype="<i4"))
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashed), pa.array(decoded)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:

@@ -235,6 +235,17 @@ def test_bpe(spark, docs, empty):
         assert bpe.encode(text).tolist() == known.encode_ordinary(text)
 
 
+def test_bpe_pieces_carry_digests(spark):
+    """What is remembered of a piece is its ids as decimals and what they decode to: nothing is made again for each text."""
+    bpe = pickle.loads(pickle.dumps(Bpe(load_ranks(spark, RANKS), public.PATTERN)))
+    for text in ("", " ", "a", " a", "a ", "  a  b", "one two\n three  four", "\u00e9t\u00e9 \U0001f600 x" * 3):
+        for _ in range(2):
+            ids, pieces = bpe.encode(text).tolist(), bpe.pieces(text)
+            assert sum(p[0] for p in pieces) == len(ids)
+            assert ",".join(p[1] for p in pieces) == ",".join(map(str, ids))
+            assert b"".join(p[2] for p in pieces) == bpe.decode(ids) == text.encode()
+
+
 def test_best_fit_plan():
     rng = random.Random(1)
     for _ in range(150):
