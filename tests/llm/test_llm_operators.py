@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.llm import licences, near, neighbours
+from gleanery.llm import licences, lines, near, neighbours
 from gleanery.llm.bpe import Bpe, encode_documents, load_ranks
 from gleanery.llm.components import components
 from gleanery.llm.exact import exact_duplicates
@@ -169,6 +169,18 @@ def test_lines(docs, empty):
     assert near_duplicate_lines(empty).count() == 0
 
 
+def test_equal_lines_are_sketched_once(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(lines, "near_duplicates", lambda df, *a, **k: (sent.append(df.count()), near_duplicates(df, *a, **k))[1])
+    rows = [(i, "A line  that comes in every text\n\na line\tthat comes in\x0bEVERY text ") for i in (5, None, 3, 3)]
+    got = near_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sent == [2]  # one line and the empty one
+    alike = [r for r in got if r.n_shingles]
+    assert len(got) == 12 and {(r.component_doc, r.component_line) for r in alike} == {(3, 0)}
+    assert [(r.doc_id, r.line) for r in alike if r.kept] == [(3, 0)]
+    assert all(r.kept and (r.component_doc, r.component_line) == (r.doc_id, 1) for r in got if not r.n_shingles)
+
+
 @pytest.mark.parametrize("settings", [{}, {"block_bytes": 16, "hash_bits": 8}])
 def test_exact(docs, empty, settings):
     folded = {k: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for k, t in corpus().items()}
