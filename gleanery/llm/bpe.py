@@ -7,20 +7,23 @@ vocabulary: they are made once on the driver and broadcast.
 
 Texts are cut at single spaces between other characters, where no pre-token
 can reach across, and pieces that were met before are taken from a bounded memo,
-with what their ids decode to.
+with what their ids decode to. The distinct pieces of a batch are looked up
+once, and the texts put together from them in Arrow.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +35,17 @@ from .words import small
 # Pieces, and pre-tokens of them, that a worker remembers in each of two generations.
 MEMO_PIECES = 300_000
 MEMO_TOKENS = 200_000
+# Texts whose distinct pieces are looked up together, at most.
+BATCH_ROWS = 2048
 
-# Of a piece: its number of ids, these as decimals joined by commas, the bytes decoded from them, and as 32-bit numbers.
+# Of a piece or pre-token: its number of ids, these as decimals joined by commas, the bytes decoded from them, and
+# the ids as 32-bit numbers where they are asked for, else nothing.
 Piece = tuple[int, str, bytes, bytes]
 
+_BYTES = [bytes([byte]) for byte in range(256)]
 _ODD_SPACE = re.compile(r" \s|\s ")
+# The same for Arrow, whose \s is that of ASCII.
+_ODD_SPACE_ARROW = r" [\t-\r\x1c-\x1f\x{85}\p{Z}]|[\t-\r\x1c-\x1f\x{85}\p{Z}] "
 _PLAIN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -46,8 +55,8 @@ def load_ranks(spark, path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (row["value"].split() for row in lines)}
 
 
-def _digest(token: bytes, seed: int) -> int:
-    return int.from_bytes(hashlib.blake2b(token, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+# Keys are hashed as numbers modulo this prime, which lets no two byte strings of an honest vocabulary meet.
+_PRIME = (1 << 61) - 1
 
 
 class PerfectHash:
@@ -65,9 +74,9 @@ class PerfectHash:
         for key in values:
             h = self._hash(key)
             by_group.setdefault(h % self.groups, []).append((h, key))
-        self.shift = np.zeros(self.groups, dtype=np.uint32)
+        self.shift = [0] * self.groups
         self.keys: list[bytes | None] = [None] * n
-        self.values = np.zeros(n, dtype=np.int64)
+        self.values = [0] * n
         for group, members in sorted(by_group.items(), key=lambda item: (-len(item[1]), item[0])):
             shift = 0
             while True:
@@ -82,27 +91,31 @@ class PerfectHash:
 
     @staticmethod
     def _hash(key: bytes) -> int:
-        return _digest(key, 0)
+        # The last byte tells keys apart that end in null bytes.
+        return int.from_bytes(key + b"\1", "little") % _PRIME
 
     def _place(self, h: int, shift: int) -> int:
         return ((h ^ (shift * 0x9E3779B97F4A7C15)) * 0xD6E8FEB86659FD93 >> 32 & 0xFFFFFFFF) % self.n
 
     def get(self, key: bytes) -> int:
         """The value of ``key``, or -1."""
-        h = self._hash(key)
-        place = self._place(h, int(self.shift[h % self.groups]))
-        return int(self.values[place]) if self.keys[place] == key else -1
+        # ``_hash`` and ``_place`` written out, as this runs for every new pre-token.
+        h = int.from_bytes(key + b"\1", "little") % _PRIME
+        place = (h ^ (self.shift[h % self.groups] * 0x9E3779B97F4A7C15)) * 0xD6E8FEB86659FD93 >> 32 & 0xFFFFFFFF
+        place %= self.n
+        return self.values[place] if self.keys[place] == key else -1
 
 
 class Bpe:
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, with_ids: bool = True) -> None:
         self.pattern = pattern
+        self.with_ids = with_ids
         self.whole = PerfectHash(ranks)
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
 
     def __getstate__(self):
-        return {"pattern": self.pattern, "whole": self.whole, "ranks": self.ranks}
+        return {"pattern": self.pattern, "with_ids": self.with_ids, "whole": self.whole, "ranks": self.ranks}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -112,18 +125,20 @@ class Bpe:
         # By what follows the piece's space.
         self.young: dict[str, Piece] = {}
         self.old: dict[str, Piece] = {}
-        self.young_tokens: dict[str, list[int]] = {}
-        self.old_tokens: dict[str, list[int]] = {}
+        self.young_tokens: dict[str, Piece] = {}
+        self.old_tokens: dict[str, Piece] = {}
 
-    def pre_token(self, match: str) -> list[int]:
-        """Ids of a pre-token: a whole entry or merged; with a memo, as words come with many sorts of punctuation around them."""
+    def pre_token(self, match: str) -> Piece:
+        """A pre-token: a whole entry or merged; with a memo, as words come with many sorts of punctuation around them."""
         found = self.young_tokens.get(match)
         if found is None:
             found = self.old_tokens.get(match)
             if found is None:
                 token = match.encode()
                 rank = self.whole.get(token)
-                found = [rank] if rank >= 0 else self.merge(token)
+                ids = [rank] if rank >= 0 else self.merge(token)
+                decimals, raw = ",".join(map(self.decimal.__getitem__, ids)), array("I", ids).tobytes() if self.with_ids else b""
+                found = len(ids), decimals, self.decode(ids), raw
             if len(match) <= 64:
                 if len(self.young_tokens) >= MEMO_TOKENS:
                     self.old_tokens, self.young_tokens = self.young_tokens, {}
@@ -132,44 +147,42 @@ class Bpe:
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token that is no entry itself, by merging adjacent parts."""
-        ranks, n = self.ranks, len(token)
+        rank_of, n = self.ranks.get, len(token)
+        parts: list[bytes | None] = list(map(_BYTES.__getitem__, token))
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        end = list(range(1, n + 1))  # the part that starts here ends there; 0: it is gone
-        heap = []
-        for i in range(n - 1):
-            rank = ranks.get(token[i : i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 2))
-        heapq.heapify(heap)
+        # Of the pair that starts at a part: its rank, None if it is no entry or the part is gone.
+        ranks = [*map(rank_of, map(concat, parts, parts[1:])), None]
+        heap = [rank * n + i for i, rank in enumerate(ranks) if rank is not None]  # by rank, then place
+        heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            j = after[i] if end[i] else n
-            if j >= n or end[j] != stop:
+            rank, i = divmod(heappop(heap), n)
+            if ranks[i] != rank:
                 continue  # one of the two parts has changed since
-            end[i], end[j] = stop, 0
+            j = after[i]
+            parts[i] = part = parts[i] + parts[j]
+            parts[j] = ranks[i] = ranks[j] = None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                rank = ranks.get(token[i : end[k]])
+                ranks[i] = rank = rank_of(part + parts[k])
                 if rank is not None:
-                    heapq.heappush(heap, (rank, i, end[k]))
+                    heappush(heap, rank * n + i)
             h = before[i]
             if h >= 0:
-                rank = ranks.get(token[h:stop])
+                ranks[h] = rank = rank_of(parts[h] + part)
                 if rank is not None:
-                    heapq.heappush(heap, (rank, h, stop))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[token[i : end[i]]])
-            i = after[i]
-        return out
+                    heappush(heap, rank * n + h)
+        return [self.ranks[part] for part in parts if part is not None]
 
     def encode_piece(self, piece: str) -> Piece:
-        ids: list[int] = []
-        for match in self.match(piece):
-            ids += self.pre_token(match)
-        return len(ids), ",".join(map(self.decimal.__getitem__, ids)), self.decode(ids), array("I", ids).tobytes()
+        found = list(map(self.pre_token, self.match(piece)))
+        if len(found) == 1:
+            return found[0]
+        if not found:
+            return 0, "", b"", b""
+        counts, decimals, decoded, raw = zip(*found, strict=True)
+        return sum(counts), ",".join(decimals), b"".join(decoded), b"".join(raw)
 
     def after_space(self, part: str) -> Piece:
         """``encode_piece`` of a space and ``part`` with a memo; its older half goes when the younger is full."""
@@ -191,6 +204,43 @@ class Bpe:
             found += [self.young.get(part) or self.after_space(part) for part in parts]
         return found
 
+    def joined(self, texts: pa.Array) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        """Of each text what ``pieces`` gives, put together."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        odd = pc.match_substring_regex(texts, _ODD_SPACE_ARROW).to_numpy(zero_copy_only=False)
+        parts = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        offsets = parts.offsets.to_numpy()
+        first = np.zeros(offsets[-1] - offsets[0], dtype=bool)
+        begin = offsets[:-1] - offsets[0]
+        first[begin] = True
+        parts = parts.flatten()
+        rest = parts.filter(pa.array(~first)).dictionary_encode()
+        # The first part of a text has no space before it.
+        known = [self.young.get(part) or self.after_space(part) for part in rest.dictionary.to_pylist()]
+        at = np.empty(len(first), dtype=np.int64)
+        at[~first] = rest.indices.to_numpy()
+        at[first] = len(known) + np.arange(len(begin))
+        known += [self.encode_piece(part) if part else (0, "", b"", b"") for part in parts.take(pa.array(begin)).to_pylist()]
+
+        counts = np.fromiter((piece[0] for piece in known), dtype=np.int64, count=len(known))[at]
+        ends = np.concatenate([[0], np.cumsum(counts > 0)])[offsets - offsets[0]]
+        totals = np.diff(np.concatenate([[0], np.cumsum(counts)])[offsets - offsets[0]])
+        at = pa.array(at[counts > 0])
+
+        def put_together(k: int, kind: pa.DataType, between: str | bytes) -> Iterator[bytes]:
+            each = pa.array([piece[k] for piece in known], kind).take(at)
+            return (x.as_buffer() for x in pc.binary_join(pa.LargeListArray.from_arrays(ends, each), pa.scalar(between, kind)))
+
+        decimals = put_together(1, pa.large_string(), ",")
+        decoded, raw = (put_together(k, pa.large_binary(), b"") for k in (2, 3))
+        plain = zip(totals.tolist(), decimals, decoded, raw, strict=True)
+        for i, is_odd in enumerate(odd.tolist()):
+            if is_odd:
+                counts, decimals, decoded, raw = zip(*self.pieces(texts[i].as_py()), strict=True)
+                yield sum(counts), ",".join(filter(None, decimals)).encode(), b"".join(decoded), b"".join(raw)
+            else:
+                yield next(plain)
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join([raw for *_, raw in self.pieces(text)]), dtype="<u4")
 
@@ -215,21 +265,19 @@ def encode_documents(
     must be an entry of the ranks, as in all byte-level vocabularies.
     """
     spark = prepare(df.sparkSession)
-    shared = spark.sparkContext.broadcast(Bpe(load_ranks(spark, ranks_path), pattern))
+    shared = spark.sparkContext.broadcast(Bpe(load_ranks(spark, ranks_path), pattern, with_ids))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value
-        for batch in small(batches):
-            texts = batch.column("text")
+        for batch in small(batches, BATCH_ROWS):
             n, hashed, decoded, kept = [], [], [], []
-            for text in texts:
-                counts, decimals, parts, raw = zip(*bpe.pieces(text.as_py() or "") or [(0, "", b"", b"")], strict=True)
-                n.append(sum(counts))
-                hashed.append(hashlib.sha256(",".join(filter(None, decimals)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(parts)).hexdigest())
+            for count, decimals, text, raw in bpe.joined(batch.column("text")):
+                n.append(count)
+                hashed.append(hashlib.sha256(decimals).hexdigest())
+                decoded.append(hashlib.sha256(text).hexdigest())
                 if with_ids:
-                    kept.append(np.frombuffer(b"".join(raw), dtype="<i4"))
+                    kept.append(np.frombuffer(raw, dtype="<i4"))
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashed), pa.array(decoded)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:

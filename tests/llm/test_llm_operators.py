@@ -11,6 +11,7 @@ from itertools import pairwise
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -258,6 +259,22 @@ def test_bpe_pieces_carry_digests(spark):
             assert b"".join(p[2] for p in pieces) == bpe.decode(ids) == text.encode()
 
 
+def test_bpe_looks_up_the_pieces_of_a_batch_once(spark):
+    bpe = pickle.loads(pickle.dumps(Bpe(load_ranks(spark, RANKS), public.PATTERN)))
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = ["one two two", " two\nthree two ", "", None, " ", "  two", "two\u00a0three", *(f"a {s}b{s} c" for s in spaces)]
+    for _ in range(2):
+        for text, (n, decimals, decoded, raw) in zip(texts, bpe.joined(pa.array(texts)), strict=True):
+            ids = bpe.encode(text or "").tolist()
+            assert (n, bytes(decimals).decode()) == (len(ids), ",".join(map(str, ids)))
+            assert bytes(decoded) == (text or "").encode() and np.frombuffer(raw, dtype="<u4").tolist() == ids
+    assert list(bpe.joined(pa.array([], pa.string()))) == []
+    met, after_space = [], bpe.after_space
+    bpe.young, bpe.after_space = {}, lambda part: (met.append(part), after_space(part))[1]
+    list(bpe.joined(pa.array(["x new words new words", "y words and new words"])))
+    assert sorted(met) == ["and", "new", "words"]
+
+
 def test_best_fit_plan():
     rng = random.Random(1)
     for _ in range(150):
