@@ -68,21 +68,23 @@ class WordEncoder:
 
     def __init__(self, definition: str) -> None:
         self.definition = definition
+        # Found out here, as a worker that has parsed the rules does not give all of that memory back.
+        self.parts_known = _parts_known(definition)
+        self.added_tokens = [t["content"] for t in json.loads(definition).get("added_tokens", [])]
 
     def __getstate__(self):
-        return {"definition": self.definition}
+        return {k: getattr(self, k) for k in ("definition", "parts_known", "added_tokens")}
 
     def __setstate__(self, state):
         # One thread per task, as Spark plans its cores; the library would start one per core of the machine.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.__init__(state["definition"])
+        self.__dict__.update(state)
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.model = self.tokenizer.model if _parts_known(self.definition) else None
+        self.model = self.tokenizer.model if self.parts_known else None
         # Words that hold an added token, like <|endoftext|>, take the tokenizer's whole way.
-        added = [t["content"] for t in json.loads(self.definition).get("added_tokens", [])]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        self.added = re.compile("|".join(map(re.escape, self.added_tokens)) or r"(?!)", re.IGNORECASE)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.young_parts: dict[str, bytes] = {}

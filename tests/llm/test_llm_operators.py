@@ -17,7 +17,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.llm import licences, lines, near, neighbours
+from gleanery.llm import licences, lines, near, neighbours, packing, words
 from gleanery.llm.bpe import Bpe, encode_documents, load_ranks
 from gleanery.llm.components import components
 from gleanery.llm.exact import exact_duplicates
@@ -503,6 +503,19 @@ def test_word_encoder_is_the_tokenizer():
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_leaves_no_parsed_rules_in_a_worker(monkeypatch):
+    """The rules are parsed on the driver; each task gives freed memory back before it begins and when it ends."""
+    data = pickle.dumps(WordEncoder(open(public.path("word_bpe_49k.json")).read()))
+    monkeypatch.setattr(packing.json, "loads", None)
+    encoder = pickle.loads(data)
+    assert encoder.model is not None and encoder.added.search("a<|endoftext|>")
+    times = []
+    monkeypatch.setattr(words, "release", lambda: times.append(1))
+    parts = words.small(iter([pa.record_batch({"x": [1, 2, 3]})]), 2)
+    assert next(parts).num_rows == 2 and len(times) == 1
+    assert [p.num_rows for p in parts] == [1] and len(times) == 2
+
+
 def test_word_encoder_takes_added_tokens_as_the_untouched_tokenizer():
     untouched = Tokenizer.from_file(public.path("word_bpe_49k.json"))
     encoder = pickle.loads(pickle.dumps(WordEncoder(open(public.path("word_bpe_49k.json")).read())))
