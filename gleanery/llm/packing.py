@@ -276,9 +276,9 @@ def _pack_documents(
     counts = tmp.store(pieces.groupBy("length", "part").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = best_fit_plan(histogram, capacity)
-    steps = spark.createDataFrame(
-        plan or [(0, 0, 0, 0, 0)], "length long, from_rank long, to_rank long, first long, offset long"
-    )
+    # As an Arrow table: rows in a list would take Python workers of another kind, beside those that hold the encoder.
+    columns = np.array(plan, dtype=np.int64).reshape(-1, 5).T
+    steps = spark.createDataFrame(pa.table(dict(zip(["length", "from_rank", "to_rank", "first", "offset"], columns, strict=True))))
 
     ahead = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("length", "part", F.coalesce(ahead, F.lit(0)).alias("ahead"))
