@@ -32,9 +32,9 @@ from .words import small
 
 # Pieces of one length are ranked in so many parts, each counted by itself.
 RANK_PARTS = 512
-# Words, and parts of words, that a worker remembers in each of two generations.
-MEMO_WORDS = 200_000
-MEMO_PARTS = 250_000
+# Bytes that a worker may take for words, and for parts of words, in each of two generations; an entry takes about so many besides its own.
+MEMO_BYTES = 17_000_000
+ENTRY_BYTES = 150
 
 # Words of printable ASCII and Latin-1 letters, and how the tokenizer parts them: contractions, letters, digits, the rest.
 _PLAIN = re.compile(r"[!-~\u00C0-\u00FF]+")
@@ -89,11 +89,12 @@ class WordEncoder:
         self.old: dict[bytes, bytes] = {}
         self.young_parts: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
+        self.young_bytes = self.young_parts_bytes = 0
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         for text in texts:
-            if len(self.young) >= MEMO_WORDS:
-                self.old, self.young = self.young, {}
+            if self.young_bytes >= MEMO_BYTES:
+                self.old, self.young, self.young_bytes = self.young, {}, 0
             words = text.split()  # of bytes: at ASCII white space only
             missing = set(words).difference(self.young)
             if missing:
@@ -114,6 +115,7 @@ class WordEncoder:
                 whole.append(word)
         if whole:
             self._learn_whole(whole)
+        self.young_bytes += sum(map(len, words)) + sum(len(self.young[w]) for w in words) + ENTRY_BYTES * len(words)
 
     def _part(self, part: str) -> bytes:
         found = self.young_parts.get(part)
@@ -122,9 +124,10 @@ class WordEncoder:
             if found is None:
                 tokens = self.model.tokenize(part if part.isascii() else part.translate(_BYTE_LETTERS))
                 found = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if len(self.young_parts) >= MEMO_PARTS:
-                self.old_parts, self.young_parts = self.young_parts, {}
+            if self.young_parts_bytes >= MEMO_BYTES:
+                self.old_parts, self.young_parts, self.young_parts_bytes = self.young_parts, {}, 0
             self.young_parts[part] = found
+            self.young_parts_bytes += ENTRY_BYTES + len(part) + len(found)
         return found
 
     def _learn_whole(self, words: list[str]) -> None:

@@ -516,6 +516,21 @@ def test_word_encoder_leaves_no_parsed_rules_in_a_worker(monkeypatch):
     assert [p.num_rows for p in parts] == [1] and len(times) == 2
 
 
+def test_word_encoder_remembers_so_many_bytes_however_long_the_words(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_BYTES", 100_000)
+    encoder = pickle.loads(pickle.dumps(WordEncoder(open(public.path("word_bpe_49k.json")).read())))
+    untouched = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    rng = random.Random(8)
+    text = lambda i: " ".join("".join(rng.choices("abcé漢1-", k=rng.choice([3, 2000]))) for _ in range(8)) if i % 3 else "a bc"
+    texts = [text(i) for i in range(150)]
+    largest = 0
+    for t, ids in zip(texts, encoder.encode(t.encode() for t in texts), strict=True):
+        assert ids.tolist() == untouched.encode(t, add_special_tokens=False).ids
+        for memo in (encoder.young, encoder.old, encoder.young_parts, encoder.old_parts):
+            largest = max(largest, sum(len(k) + len(v) for k, v in memo.items()))
+    assert 50_000 < largest < 250_000  # and what one text brings
+
+
 def test_word_encoder_takes_added_tokens_as_the_untouched_tokenizer():
     untouched = Tokenizer.from_file(public.path("word_bpe_49k.json"))
     encoder = pickle.loads(pickle.dumps(WordEncoder(open(public.path("word_bpe_49k.json")).read())))
