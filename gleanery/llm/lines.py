@@ -51,9 +51,9 @@ def _near_duplicate_lines(tmp: Scratch, df: DataFrame, rule: NearRule, id_col: s
     lines = lines.withColumn("text", folded)
     hashes = F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")
     rows = tmp.store(lines.select(F.monotonically_increasing_id().alias("row"), "doc_id", "line", *hashes))
-    texts = tmp.store(lines.select(*hashes, "text").dropDuplicates(["h1", "h2"]))
+    texts = tmp.store(lines.select(*hashes, "text").dropDuplicates(["h1", "h2"]), compression="zstd")
 
-    found = near_duplicates(texts.select(F.struct("h1", "h2").alias("key"), "text"), rule, id_col="key")
+    found = near_duplicates(texts.select(F.struct("h1", "h2").alias("key"), "text"), rule, id_col="key", unique_ids=True)
     classes = found.select(
         "doc_id.h1", "doc_id.h2", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component")
     )

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import Scratch, hint_if_small, prepare, stored
+from gleanery.session import BROADCAST_BYTES, Scratch, hint_if_small, measured_bytes, prepare, stored
 
 from .components import components
 from .words import LOWER, gram_hashes, mix, small, text_slices, word_bounds, word_hashes
@@ -200,6 +200,18 @@ def _sketch(df: DataFrame, rule: NearRule, id_col: str, text_col: str) -> DataFr
     )
 
 
+def _packed(df: DataFrame) -> DataFrame:
+    """(node, text) as (node, body), the compressed text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in small(batches):
+            body = [pack.compress(t.as_buffer()) if t.is_valid else b"" for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(body, pa.binary())], names=["node", "body"])
+
+    return df.select("node", "text").mapInArrow(run, "node long, body binary")
+
+
 def _bodies(df: DataFrame, rule: NearRule, text_col: str) -> DataFrame:
     """Set keys and compressed lower-case texts."""
 
@@ -278,9 +290,11 @@ def _confirm(pairs: DataFrame, bodies: DataFrame, rule: NearRule) -> DataFrame:
 
 # Bitmaps of shared shingles are so many longs.
 _MARKS = 16
+# Shingles are shuffled in so many parts, one after the other (a power of two).
+_PARTS = 2
 
 
-def _shared(texts: DataFrame, own: DataFrame, rule: NearRule) -> DataFrame:
+def _shared(tmp: Scratch, texts: DataFrame, own: DataFrame, rule: NearRule) -> DataFrame:
     """node, shared, m0, m1, …: how many of a node's shingles other components have too, and a bitmap of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,13 +311,18 @@ def _shared(texts: DataFrame, own: DataFrame, rule: NearRule) -> DataFrame:
     rows = rows.mapInArrow(run, "node long, component long, shingles array<long>")
     rows = rows.select("node", "component", F.explode("shingles").alias("shingle"))
     same = Window.partitionBy("shingle")
-    rows = rows.withColumn("first", F.min("component").over(same)).withColumn("last", F.max("component").over(same))
-    rows = rows.where("first <> last").select("node", "shingle").repartition("node")
     marks = [
         F.bit_or(F.expr(f"IF((shingle >> 6) & {_MARKS - 1} = {i}, shiftleft(1L, CAST(shingle & 63 AS INT)), 0L)")).alias(f"m{i}")
         for i in range(_MARKS)
     ]
-    return rows.groupBy("node").agg(F.count("*").alias("shared"), *marks)
+    parts = []
+    for i in range(_PARTS):
+        part = rows.where(f"((shingle >> 10) & {_PARTS - 1}) = {i}")
+        part = part.withColumn("first", F.min("component").over(same)).withColumn("last", F.max("component").over(same))
+        part = part.where("first <> last").select("node", "shingle").repartition("node")
+        parts.append(tmp.store(part.groupBy("node").agg(F.count("*").alias("shared"), *marks)))
+    total = [F.bit_or(f"m{i}").alias(f"m{i}") for i in range(_MARKS)]
+    return reduce(DataFrame.union, parts).groupBy("node").agg(F.sum("shared").alias("shared"), *total)
 
 
 def _could_join(mixed: DataFrame, rule: NearRule) -> DataFrame:
@@ -341,6 +360,7 @@ def near_duplicates(
     rule: NearRule = NearRule(),  # noqa: B008
     id_col: str = "doc_id",
     text_col: str = "text",
+    unique_ids: bool = False,
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id, kept.
 
@@ -356,10 +376,12 @@ def near_duplicates(
     - kept marks one row of each component: the first by id (nulls last), then
       by place in the table.
     - Other columns of ``df`` are ignored, whatever their names.
+    - unique_ids says that no id comes twice or is null; texts are then found by
+      their ids, without making the sets of all texts again.
     """
     spark = prepare(df.sparkSession)
     with Scratch(spark) as tmp:
-        return stored(_near_duplicates(tmp, df, rule, id_col, text_col))
+        return stored(_near_duplicates(tmp, df, rule, id_col, text_col, unique_ids))
 
 
 def _near_duplicates(
@@ -368,20 +390,31 @@ def _near_duplicates(
     rule: NearRule,
     id_col: str,
     text_col: str,
+    unique_ids: bool,
 ) -> DataFrame:
     sketch = tmp.store(_sketch(df, rule, id_col, text_col))
     full = sketch.where("n_shingles > 0")
 
     # Equal sets: the first row stands for all.
     classes = tmp.store(full.groupBy("key1", "key2").agg(F.min("row").alias("node"), F.count("*").alias("rows")))
-    nodes = full.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    nodes = tmp.store(nodes.select("node", "n_shingles", "key1", "key2", "sig", "buckets"))
-    sigs = nodes.select("node", "sig")
+    several = classes.where("rows > 1")
+    repeats = full.select("row", "key1", "key2").join(hint_if_small(several), ["key1", "key2"]).where("row <> node")
+    repeats = tmp.store(repeats.select("row"))
+    size = measured_bytes(repeats)
 
-    # Buckets of at least two nodes, and their stars.
-    members = nodes.select("node", F.explode("buckets").alias("bucket"))
+    # Buckets of at least two nodes, and their stars. The ends are written first, so that not both shuffles stand on disk.
+    members = _nodes(full, repeats, size).select("node", F.explode("buckets").alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    members = tmp.store(members.join(ends.where("lo < hi"), "bucket"))
+    ends = tmp.store(ends.where("lo < hi"))
+    members = tmp.store(members.join(ends, "bucket"))
+    # The buckets are most of the sketch.
+    wide, sketch = sketch, tmp.store(sketch.drop("buckets"))
+    tmp.remove(wide)
+    tmp.remove(ends)
+    nodes = _nodes(sketch.where("n_shingles > 0"), repeats, size)
+    if size > BROADCAST_BYTES:
+        nodes = tmp.store(nodes)
+    sigs = nodes.select("node", "sig")
     stars = (
         members.select(F.col("lo").alias("a"), F.col("node").alias("b"))
         .union(members.select(F.col("node").alias("a"), F.col("hi").alias("b")))
@@ -391,7 +424,8 @@ def _near_duplicates(
     likely = tmp.store(_test(stars, sigs, rule))
 
     involved = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    texts = _texts_of(tmp, df, rule, text_col, nodes, involved)
+    texts_of = partial(_texts_by_id, id_col=id_col) if unique_ids else partial(_texts_of, rule=rule)
+    texts = texts_of(tmp, df, text_col=text_col, nodes=nodes, involved=involved)
     first = likely.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a"))
     links = tmp.store(_confirm(first.select("a", "b"), texts, rule))
     labels = components(links, tmp)
@@ -410,10 +444,11 @@ def _near_duplicates(
         F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("components")
     )
     mixed = tmp.store(placed.join(main.where("components > 1").select("bucket", "main"), "bucket"))
+    tmp.remove(members)
     own = tmp.store(mixed.select("node", "component").distinct())
     others = own.select("node").join(texts.select("node"), "node", "left_anti")
-    texts = texts.union(_texts_of(tmp, df, rule, text_col, nodes, others))
-    bounds = _shared(texts, own, rule).join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
+    texts = texts.union(texts_of(tmp, df, text_col=text_col, nodes=nodes, involved=others))
+    bounds = _shared(tmp, texts, own, rule).join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
     bounds = tmp.store(bounds.where(f"{rule.denominator} * shared >= {rule.numerator} * n"))
     unsettled = tmp.store(_test(_could_join(tmp.store(mixed.join(bounds, "node")), rule), sigs, rule))
     links = tmp.store(links.union(_confirm(unsettled.select("a", "b"), texts, rule)))
@@ -437,6 +472,18 @@ def _near_duplicates(
     )
 
 
+def _nodes(rows: DataFrame, repeats: DataFrame, size: int) -> DataFrame:
+    """The rows that stand for their classes: all but ``repeats``, which measure so many bytes."""
+    return rows.join(hint_if_small(repeats, size), "row", "left_anti").withColumnRenamed("row", "node")
+
+
+def _texts_by_id(tmp: Scratch, df: DataFrame, id_col: str, text_col: str, nodes: DataFrame, involved: DataFrame) -> DataFrame:
+    """(node, body) of the nodes that have pairs to confirm, where no id comes twice."""
+    wanted = tmp.store(nodes.select("node", "doc_id").join(involved, "node", "left_semi"))
+    found = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(hint_if_small(wanted), "doc_id")
+    return tmp.store(_packed(found))
+
+
 def _texts_of(tmp: Scratch, df: DataFrame, rule: NearRule, text_col: str, nodes: DataFrame, involved: DataFrame) -> DataFrame:
     """(node, body) of the nodes that have pairs to confirm; texts are found by their set keys."""
     wanted = tmp.store(nodes.select("node", "key1", "key2").join(involved, "node", "left_semi"))

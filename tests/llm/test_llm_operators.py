@@ -2,10 +2,12 @@
 
 import base64
 import hashlib
+import os
 import pickle
 import random
 import re
 import textwrap
+import time
 import zlib
 from itertools import pairwise
 
@@ -182,6 +184,24 @@ def test_equal_lines_are_sketched_once(spark, monkeypatch):
     assert all(r.kept and (r.component_doc, r.component_line) == (r.doc_id, 1) for r in got if not r.n_shingles)
 
 
+def test_lines_leave_no_shuffles_behind_and_find_texts_by_their_hashes(spark, monkeypatch):
+    monkeypatch.setattr(near, "_bodies", None)  # which makes the sets of all lines again
+    rng = random.Random(3)
+    line = "".join(rng.choices("abcdefgh ", k=200))
+    rows = [(i, f"{line[:i]}X{line[i:]}\n" + "".join(rng.choices("abc ", k=50))) for i in range(40, 60)]
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in map(str, folder.getAllFiles().mkString("\n").split("\n")) if f.endswith(".data")}
+    before = files()
+    found = near_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    for _ in range(50):  # Spark removes them in the background
+        # Sums that come to the driver, a row each, are no tables that are written.
+        if not (left := [f for f in files() - before if os.path.exists(f) and os.path.getsize(f) > 1000]):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert {r.component_doc for r in found.where("line = 0").collect()} == {40}
+
+
 @pytest.mark.parametrize("settings", [{}, {"block_bytes": 16, "hash_bits": 8}])
 def test_exact(docs, empty, settings):
     folded = {k: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for k, t in corpus().items()}
